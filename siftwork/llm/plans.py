@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftwork.llm import cross_split, leakage, quota_sample, related_splits
+from siftwork.llm import chunks, cross_split, leakage, mixing, quota_sample, related_splits
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,5 +61,25 @@ def p6_items(spark: SparkSession, d: str) -> DataFrame:
     return leakage.leaked_items(_t(spark, d, "documents"), _t(spark, d, "eval_items"))
 
 
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.unreachable(_t(spark, d, "documents"), _t(spark, d, "mix_targets"))
+
+
+def p7_mix(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.draw_mix(_t(spark, d, "documents"), _t(spark, d, "mix_targets"))[1]
+
+
+def p7_report(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix_report(_t(spark, d, "documents"), _t(spark, d, "mix_targets"))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return chunks.oversized(_t(spark, d, "documents"))
+
+
+def p8_pieces(spark: SparkSession, d: str) -> DataFrame:
+    return chunks.split_oversized(_t(spark, d, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p2_found, p2_report, p2_sample, p3_found, p3_splits, p3_report, p4_found, p4_report, p6_found, p6_leaks, p6_items)}
+    return {f.__name__: f for f in (p2_found, p2_report, p2_sample, p3_found, p3_splits, p3_report, p4_found, p4_report, p6_found, p6_leaks, p6_items, p7_found, p7_mix, p7_report, p8_found, p8_pieces)}

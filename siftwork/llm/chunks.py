@@ -1,7 +1,8 @@
 """Splitting oversized texts at natural boundaries.
 
-Method: dynamic programming over boundary positions. The number of pieces is the least possible; among all ways to cut
-that many, the one with the least sum of cut penalties and size imbalance is taken.
+Method: dynamic programming over boundary positions. The number of pieces is the least possible, or one more where that
+avoids cuts at mere word ends; among all ways to cut that many, the one with the least sum of cut penalties and size
+imbalance is taken.
 """
 
 from __future__ import annotations
@@ -64,18 +65,47 @@ def plan_cuts(kind: np.ndarray, limit: int = MAX_TOKENS, overlap: int = OVERLAP)
         return [n]
     fresh = limit - overlap
     least = -(-(n - overlap) // fresh)
-    best = _solve(kind, n, least, limit, overlap)
+    best = _solve(kind, n, least, limit, overlap) or _solve(kind, n, least + 1, limit, overlap)
     if best is None:  # the natural boundaries are too far apart: words may be cut, characters not
         best = _solve(kind, n, least, limit, overlap, 9)
-    if best is None or best[2] >= 3 and (kind < 4).any():  # only word ends or worse: one more piece may do better
-        more = _solve(kind, n, least + 1, limit, overlap)
-        if more is not None and (best is None or more[0] + PENALTY[3] < best[0]):
+    if best is not None and best[2] >= 3:  # one more piece, if all its cuts then fall at sentence ends or better
+        more = _solve(kind, n, least + 1, limit, overlap, 3)
+        if more is not None and more[0] + PENALTY[3] < best[0]:
             best = more
     if best is None:  # no such cut keeps characters whole: cut by count
         return [*range(limit, n, fresh), n] if n > limit else [n]
     return best[1]
 
 
+def _best_before(ends: np.ndarray, cost: np.ndarray, span: np.ndarray, ideal: float, limit: int, overlap: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each end in ``span`` the best of the ends before it, and the range of those within the limit. The squared
+    imbalance of a piece is (a - b)^2 with a of its end and b of the end before; as it is convex and the ranges move
+    with the end, the best end before never moves back, so every 32nd is sought first and the others between them."""
+    a, b = (span + overlap) / ideal - 1, ends / ideal
+    fixed = cost + BALANCE * b * b
+    low, high = np.searchsorted(ends, span + overlap - limit, "left"), np.searchsorted(ends, span, "left")
+    back = np.zeros(len(span), dtype=np.int64)
+
+    def fill(js: np.ndarray, first: int, last: int) -> None:
+        rows = np.arange(first, last)[:, None]
+        step = fixed[first:last, None] - (2 * BALANCE) * b[first:last, None] * a[js]
+        step[(rows < low[js]) | (rows >= high[js])] = np.inf
+        back[js] = first + step.argmin(axis=0)
+
+    if len(ends) * len(span) <= 40_000:
+        fill(np.arange(len(span)), 0, len(ends))
+        return back, low, high
+    open_ = np.flatnonzero(low < high)
+    if not len(open_):
+        return back, low, high
+    marks = np.unique(np.append(np.arange(0, len(open_), 32), len(open_) - 1))
+    fill(open_[marks], 0, len(ends))
+    for x, y in zip(marks[:-1], marks[1:]):
+        if y - x > 1:
+            fill(open_[x + 1 : y], int(back[open_[x]]), int(back[open_[y]]) + 1)
+    return back, low, high
+
+
 def _solve(kind: np.ndarray, n: int, pieces: int, limit: int, overlap: int, below: int = 4) -> tuple[float, list[int], int] | None:
     """(cost, ends, worst kind of cut) of the cheapest way to cut into so many pieces."""
     fresh, ideal = limit - overlap, (n - overlap) / pieces + overlap
@@ -90,24 +120,12 @@ def _solve(kind: np.ndarray, n: int, pieces: int, limit: int, overlap: int, belo
         kinds = kind[span - 1]
         able = kinds < below
         if not able.any():
-            able = kinds < 9
-            if not able.any():
-                return None
+            return None
         span, kinds = span[able], kinds[able]
         start_kind = kind[np.maximum(span - overlap - 1, 0)] if overlap else kinds
         own = PENALTY[kinds] + np.where(start_kind >= 4, RAGGED, 0.0)
         own = own + np.where(start_kind == 9, 10 * PENALTY[4], 0.0)
-        # the squared imbalance of a piece is (a - b)^2 with a of its end and b of the end before it
-        a, b = ((span + overlap) / ideal - 1).astype(np.float32), (ends / ideal).astype(np.float32)
-        step = np.multiply.outer(b, -2 * BALANCE * a)
-        step += (cost + BALANCE * b * b).astype(np.float32)[:, None]
-        low_i, high_i = np.searchsorted(ends, span + overlap - limit, "left"), np.searchsorted(ends, span, "left")
-        rows = np.arange(len(ends))[:, None]
-        if low_i[-1] > 0:
-            step[rows < low_i] = np.inf
-        if high_i[0] < len(ends):
-            step[rows >= high_i] = np.inf
-        back = step.argmin(axis=0)
+        back, low_i, high_i = _best_before(ends, cost, span, ideal, limit, overlap)
         before = ends[back]
         reached = np.where(low_i < high_i, cost[back] + BALANCE * ((span - before + overlap) / ideal - 1) ** 2, np.inf) + own
         good = np.isfinite(reached)

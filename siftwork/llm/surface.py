@@ -5,15 +5,19 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
+from functools import lru_cache
 
 # Inline tags vanish without a gap, all other markup is a gap.
 INLINE = "a abbr acronym b big cite code del dfn em font i ins kbd mark q s samp small span strike strong sub sup tt u var wbr"
 _TAG = re.compile(r"<(?:/?([A-Za-z][A-Za-z0-9]*)(?:\s[^<>]*|/)?|!--[\s\S]*?--|![A-Za-z][^<>]*|\?[^<>]*)>")
 _INLINE = frozenset(INLINE.split())
-_HYPHEN_END = re.compile(r"(?<=\w)[-‐‑¬][ \t]*(?:\r\n|[\n\r\x0b\x0c\x85  ])\s*(?=\w)")
-_INVISIBLE = re.compile("[­͏؜ᅟᅠ឴឵᠋-᠎​-‏‪-‮⁠-⁯︀-️﻿￹-￻]")
-_MARK = re.compile("[̀-ͯ҃-҉᪰-᫿᷀-᷿⃐-⃿︠-︯]")
+_HYPHEN_END = re.compile(r"(?<=\w)[-‐‑¬][ \t]*(?:\r\n|[\n\r\x0b\x0c\x85\u2028\u2029])\s*(?=\w)")
+_SOFT_END = re.compile(r"\xad(?=[ \t]*[\n\r])")
+_WIDE = re.compile(r"[^\x00-\x7f]+")
 _WORD = re.compile(r"[^\W_]+")
+_HYPHENS = "-‐‑¬"
+#: Letters without a shape, which are no format characters by category.
+_FILLERS = frozenset("\u115f\u1160\u3164\uffa0")
 # Letters with a stroke or hook that have no decomposition.
 _STROKED = str.maketrans({"ø": "o", "ł": "l", "đ": "d", "ħ": "h", "ŧ": "t", "ı": "i", "æ": "ae", "œ": "oe"})
 
@@ -34,9 +38,20 @@ def plain(text: str) -> str:
             text = _TAG.sub(_untag, text)
     if text.isascii():
         return text.lower()
-    text = _INVISIBLE.sub("", text)
-    text = unicodedata.normalize("NFKD", text.casefold()).casefold()
-    return _MARK.sub("", text).translate(_STROKED)
+    if "\xad" in text:
+        text = _SOFT_END.sub("-", text)
+    return _WIDE.sub(_folded, text.lower())
+
+
+def _folded(m: re.Match) -> str:
+    return _fold(m[0])
+
+
+@lru_cache(maxsize=50_000)
+def _fold(run: str) -> str:
+    """A run of characters beyond ASCII: decomposed, without marks and invisible characters, case folded."""
+    wide = unicodedata.normalize("NFKD", run.casefold()).casefold()
+    return "".join(c for c in wide if c not in _FILLERS and unicodedata.category(c) not in ("Mn", "Me", "Cf")).translate(_STROKED)
 
 
 def words(text: str | None) -> list[list[str]]:
@@ -45,7 +60,7 @@ def words(text: str | None) -> list[list[str]]:
     if not text:
         return [[]]
     p = plain(text)
-    joined = _HYPHEN_END.sub("", p)
+    joined = _HYPHEN_END.sub("", p) if any(h in p for h in _HYPHENS) else p
     out = [_WORD.findall(joined)]
     if len(joined) != len(p):
         out.append(_WORD.findall(p))

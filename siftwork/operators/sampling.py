@@ -135,7 +135,7 @@ def _sequential(pool: DataFrame, order: Sequence[str], object_col: str, object_c
     names, got, parts, last = pool.columns, 0, [], None
     while got < quota:
         full_obj, full_inst = no.where(F.col("_no") >= object_cap), ni.where(F.col("_ni") >= inst_cap)
-        left = pool if last is None else pool.where(F.struct(*order) > F.struct(*[F.lit(x) for x in last]))
+        left = pool if last is None else pool.where(F.struct(*order) > F.struct(*[F.lit(x).cast(pool.schema[c].dataType).alias(c) for c, x in zip(order, last)]))
         stretch = cut(left.join(full_obj.select(object_col), object_col, "left_anti").join(full_inst.select(inst_col), inst_col, "left_anti").orderBy(*order).limit(CHUNK_ROWS), "stretch")
         end = stretch.agg(F.max(F.struct(*order)).alias("x")).first()["x"]
         if end is None:
@@ -156,7 +156,7 @@ def _sequential(pool: DataFrame, order: Sequence[str], object_col: str, object_c
                     insts[u] += 1
             return pdf.iloc[keep][names]
 
-        part = cut(rows.groupBy(F.lit(1)).applyInPandas(lambda p: run(p), pool.schema), "accepted")
+        part = cut(rows.withColumn("_one", F.lit(1)).groupBy("_one").applyInPandas(lambda p: run(p), pool.schema), "accepted")
         parts.append(part)
         got += part.count()
         no = no.unionByName(part.groupBy(object_col).agg(F.count("*").alias("_no"))).groupBy(object_col).agg(F.sum("_no").alias("_no"))

@@ -46,3 +46,34 @@ def p5_indexed_terms(spark: SparkSession, d: str) -> DataFrame:
 
 def queries() -> dict:
     return {f.__name__: f for f in (p1_found, p1_terms, p5_found, p5_schema, p5_records, p5_freetext, p5_indexed_terms, p5_media, p5_resources)}
+
+
+# An object stored as JSON text counts as the object; an object or scalar in place of an array as its element 0.
+_OBJ = "CASE WHEN json_type({x}) = 'VARCHAR' AND starts_with(ltrim({x} ->> '$'), '{{') AND json_valid({x} ->> '$') THEN CAST({x} ->> '$' AS JSON) ELSE {x} END"
+_ARR = "CASE WHEN {x} IS NULL OR json_type({x}) = 'NULL' THEN [] WHEN json_type({x}) = 'ARRAY' THEN CAST({x} AS JSON[]) ELSE [{x}] END"
+
+
+def _obj(x: str) -> str:
+    return _OBJ.format(x=f"({x})")
+
+
+def _groups(root: str, shown: str) -> str:
+    return f"""SELECT line_id, '{shown}.' || k AS name, {_ARR.format(x=f"(o -> ('$.\"' || k || '\"'))")} AS items FROM (SELECT line_id, o, unnest(json_keys(o)) AS k FROM (SELECT line_id, {_obj(root)} AS o FROM r) WHERE json_type(o) = 'OBJECT')"""
+
+
+_FOUND = f"""WITH v AS (SELECT line_id, CAST(record_json AS JSON) AS j FROM source_records WHERE json_valid(record_json)),
+ w AS (SELECT line_id, CASE WHEN (j -> '$.content') IS NULL AND json_type({_obj("j -> '$.record'")}) = 'OBJECT' THEN {_obj("j -> '$.record'")} ELSE j END AS j FROM v),
+ r AS (SELECT line_id, {_obj("j -> '$.content'")} AS c FROM w),
+ n AS (SELECT line_id, {_obj("c -> '$.descriptiveNonRepeating'")} AS x FROM r),
+ m AS (SELECT line_id, {_obj("x -> '$.online_media'")} AS x FROM n),
+ a AS ({_groups("c -> '$.freetext'", "freetext")} UNION ALL {_groups("c -> '$.indexedStructured'", "indexedStructured")}
+   UNION ALL SELECT line_id, 'online_media.media', {_ARR.format(x="(x -> '$.media')")} FROM m),
+ e AS (SELECT line_id, name, unnest(items) AS item, generate_subscripts(items, 1) - 1 AS i FROM a),
+ p AS (SELECT line_id, name, name || '[' || i || ']' AS item_path, {_obj("item")} AS item FROM e WHERE item IS NOT NULL AND json_type(item) <> 'NULL'),
+ q AS (SELECT line_id, item_path || '.resources' AS name, {_ARR.format(x="(item -> '$.resources')")} AS items FROM p WHERE name = 'online_media.media' AND json_type(item) = 'OBJECT'),
+ s AS (SELECT line_id, name, unnest(items) AS item, generate_subscripts(items, 1) - 1 AS i FROM q)
+ SELECT line_id, item_path FROM p UNION ALL SELECT line_id, name || '[' || i || ']' FROM s WHERE item IS NOT NULL AND json_type(item) <> 'NULL'"""
+
+
+def oracle_sql() -> dict[str, str]:
+    return {"p5_found": _FOUND}

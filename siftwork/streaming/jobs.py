@@ -14,14 +14,18 @@ def read_folder(spark: SparkSession, path: str, schema, fmt: str = "parquet", fi
     return (reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader).load(path)
 
 
+def _timed(stream: DataFrame, ts: str) -> DataFrame:
+    return stream.withColumn(ts, F.col(ts).cast("timestamp"))
+
+
 def first_wins(stream: DataFrame, keys: list[str], ts: str, lateness: str) -> DataFrame:
     """The first row of each key seen; state is dropped once the watermark has passed."""
-    return stream.withWatermark(ts, lateness).dropDuplicatesWithinWatermark(keys)
+    return _timed(stream, ts).withWatermark(ts, lateness).dropDuplicatesWithinWatermark(keys)
 
 
 def window_counts(stream: DataFrame, ts: str, size: str, lateness: str, by: list[str]) -> DataFrame:
     """(start, ...by, n): counts per tumbling window."""
-    per = stream.withWatermark(ts, lateness).groupBy(F.window(ts, size).alias("w"), *by).agg(F.count("*").alias("n"))
+    per = _timed(stream, ts).withWatermark(ts, lateness).groupBy(F.window(ts, size).alias("w"), *by).agg(F.count("*").alias("n"))
     return per.select(F.col("w.start").alias("start"), *by, "n")
 
 

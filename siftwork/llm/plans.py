@@ -83,3 +83,24 @@ def p8_pieces(spark: SparkSession, d: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (p2_found, p2_report, p2_sample, p3_found, p3_splits, p3_report, p4_found, p4_report, p6_found, p6_leaks, p6_items, p7_found, p7_mix, p7_report, p8_found, p8_pieces)}
+
+
+_META = """(SELECT image_id, any_value(nullif(lower(trim(object_id)), '')) AS o, any_value(CASE WHEN regexp_matches(media_id, '[0-9]') THEN lower(trim(media_id)) END) AS m, any_value(nullif(lower(trim(sha256)), '')) AS s,
+ any_value(CASE WHEN regexp_full_match(lower(trim(phash)), '[0-9a-f]{16}') THEN CAST('0x' || lower(trim(phash)) AS UBIGINT) END) AS h, any_value(nullif(lower(trim(category_code)), '')) AS category_code,
+ any_value(nullif(lower(trim(institution)), '')) AS institution, any_value(nullif(lower(trim(unit_code)), '')) AS unit_code FROM metadata WHERE image_id IS NOT NULL GROUP BY 1)"""
+
+_P2 = f"""SELECT t.target_id FROM sample_targets t LEFT JOIN (SELECT 'category_code' AS f, category_code AS c, count(*) AS n FROM {_META} GROUP BY 2 UNION ALL SELECT 'institution', institution, count(*) FROM {_META} GROUP BY 2
+ UNION ALL SELECT 'unit_code', unit_code, count(*) FROM {_META} GROUP BY 2) k ON k.f = t.field_name AND k.c = lower(trim(t.category)) WHERE coalesce(k.n, 0) < greatest(coalesce(t.min_rows, 0), t.target_share * t.sample_rows)"""
+
+_P3 = f"""WITH RECURSIVE b AS MATERIALIZED (SELECT image_id, coalesce(o, '#' || image_id) AS o, m FROM {_META}),
+ e AS MATERIALIZED (SELECT DISTINCT x.o AS a, y.o AS b FROM b x JOIN b y ON x.m = y.m AND x.o <> y.o),
+ r(node, root) AS (SELECT a, a FROM e UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.node),
+ g AS (SELECT node, min(root) AS root FROM r GROUP BY 1)
+ SELECT min(image_id) OVER (PARTITION BY root) AS group_image_id, image_id FROM b JOIN g ON g.node = b.o"""
+
+_P4 = f"""WITH j AS MATERIALIZED (SELECT x.*, sp FROM {_META} x JOIN (SELECT image_id, any_value(lower(trim(split))) AS sp FROM splits GROUP BY 1) y ON y.image_id = x.image_id)
+ SELECT DISTINCT least(t.image_id, e.image_id) AS image_id_a, greatest(t.image_id, e.image_id) AS image_id_b FROM j t JOIN j e ON t.sp = 'train' AND e.sp IN ('validation', 'test') AND (t.s = e.s OR t.o = e.o OR bit_count(xor(t.h, e.h)) <= 4)"""
+
+
+def oracle_sql() -> dict[str, str]:
+    return {"p2_found": _P2, "p3_found": _P3, "p4_found": _P4}

@@ -98,6 +98,7 @@ def candidate(record: dict, media: dict) -> dict:
     resources = [r for x in as_array(media.get("resources")) if isinstance(r := as_object(x), dict)]
     for side in ("width", "height"):
         out[f"source_{side}"] = _long(next((r[side] for r in resources if r.get(side) is not None), None))
+    out |= dict.fromkeys(RESOURCES.values())
     for r in resources:
         if name := RESOURCES.get((clean(r.get("label")) or "").casefold()):
             out[name] = clean(r.get("url"))

@@ -103,8 +103,8 @@ def matched_keys(rec: DataFrame) -> DataFrame:
     """(kind, key, ph_train, ph_eval, distance, coverage): every key that stands in train and in an evaluation split, and
     every pair of hashes of the two sides within four bits."""
     passages = _passages(rec).withColumn("ph_text", F.col("ph").cast("string"))
-    n = passages.count()
-    shards = max(1, -(-n // SHARD))
+    most = rec.count() * (2 + len(PAIRS))  # passages before repeated keys are merged
+    shards = max(1, -(-most // SHARD))
     sharded = passages.withColumn("shard", F.pmod(F.xxhash64("text"), F.lit(shards)).cast("int"))
     shape = "kind string, key string, ph_train bigint, ph_eval bigint, distance int, coverage double"
     return sharded.select("shard", "text", "ph_text", "is_eval").groupBy("shard").applyInPandas(lambda p: scan_shard(p), shape)

@@ -107,7 +107,8 @@ def matched_keys(rec: DataFrame) -> DataFrame:
     shards = max(1, -(-most // SHARD))
     sharded = passages.withColumn("shard", F.pmod(F.xxhash64("text"), F.lit(shards)).cast("int"))
     shape = "kind string, key string, ph_train bigint, ph_eval bigint, distance int, coverage double"
-    return sharded.select("shard", "text", "ph_text", "is_eval").groupBy("shard").applyInPandas(lambda p: scan_shard(p), shape)
+    sharded = sharded.select("shard", "text", "ph_text", "is_eval").repartition(shards, "shard")  # so many tasks, whatever the session's setting
+    return sharded.groupBy("shard").applyInPandas(lambda p: scan_shard(p), shape)
 
 
 def overlaps(metadata: DataFrame, splits: DataFrame) -> tuple[DataFrame, DataFrame]:

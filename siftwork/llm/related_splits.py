@@ -164,7 +164,8 @@ def assign_splits(records: DataFrame, id_col: str = "image_id", object_col: str
         v, _ = vectors(pdf)
         return pd.DataFrame({"group_id": pdf.group_id, "split": anneal(v, pdf.start.to_numpy(), np.outer(open_share, v.sum(axis=0)), seed + int(pdf.shard.iloc[0]))})
 
-    rest = comps.where(~heavy).groupBy("shard").applyInPandas(place, shape)
+    dealt = comps.where(~heavy).repartition(shards, "shard")  # so many tasks: adaptive execution would run small ones together
+    rest = dealt.groupBy("shard").applyInPandas(lambda p: place(p), shape)
     placed = big.unionByName(rest)
     name = F.element_at(F.array(*[F.lit(x) for x in names]), F.col("split") + 1)
     return keyed.join(placed, "group_id").select(id_col, "group_id", name.alias("split"))

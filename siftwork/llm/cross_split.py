@@ -22,6 +22,22 @@ PAIRS = tuple((i, j) for i in range(6) for j in range(i + 1, 6))
 MAX_DISTANCE = 4
 #: Passages of one automaton, about.
 SHARD = 150_000
+#: A pair of pieces shared by more hashes than this is hot: there, a hash is filed under each fifth of its other bits as
+#: well, of which one must agree too, as four bits can't break five fifths.
+HOT, FIFTHS = 20_000, 5
+
+
+def _fifth_masks() -> list[list[int]]:
+    """For each pair of pieces, the masks of the five fifths of the other bits."""
+    out = []
+    for pair in PAIRS:
+        rest = [b for k, (shift, width) in enumerate(PIECES) if k not in pair for b in range(shift, shift + width)]
+        edges = [round(len(rest) * m / FIFTHS) for m in range(FIFTHS + 1)]
+        out.append([sum(1 << b for b in rest[edges[m] : edges[m + 1]]) for m in range(FIFTHS)])
+    return out
+
+
+FIFTH_MASKS = _fifth_masks()
 
 
 def bits(hex16: Column) -> Column:
@@ -52,8 +68,18 @@ def _passages(rec: DataFrame) -> DataFrame:
         for kind, c in (("s", "sha"), ("o", "obj"))
     ]
     hashes = rec.where("ph IS NOT NULL").select("ph", "is_eval").distinct()
-    pieces = F.array(*[F.concat(F.lit(f"p{chr(97 + n)}"), F.hex(_piece(F.col("ph"), i) * F.lit(2048) + _piece(F.col("ph"), j))) for n, (i, j) in enumerate(PAIRS)])
-    near = hashes.select(F.explode(pieces).alias("text"), "ph", "is_eval", F.lit("p").alias("kind"))
+    pieces = F.array(*[_piece(F.col("ph"), i) * F.lit(2048) + _piece(F.col("ph"), j) for i, j in PAIRS])
+    near = hashes.select(F.posexplode(pieces).alias("n", "v"), "ph", "is_eval")
+    hot = cut(near.groupBy("n", "v").agg(F.count("*").alias("c")).where(F.col("c") > HOT).select("n", "v"), "hot")
+    text = F.concat(F.lit("p"), F.char(F.col("n") + 97), F.hex("v"))
+    if hot.isEmpty():
+        near = near.select(text.alias("text"), "ph", "is_eval", F.lit("p").alias("kind"))
+    else:  # at most 15 hashes in HOT make a row of ``hot``; the join picks its own way
+        near = near.join(hot.withColumn("hot", F.lit(True)), ["n", "v"], "left")
+        signed = lambda m: m - (1 << 64) if m >> 63 else m
+        fifths = F.array(*[F.concat(F.lit(f"~{m}"), F.hex(F.col("ph").bitwiseAND(F.element_at(F.array(*[F.lit(signed(masks[m])) for masks in FIFTH_MASKS]), F.col("n") + 1)))) for m in range(FIFTHS)])
+        more = F.explode(F.when(F.col("hot").isNotNull(), fifths).otherwise(F.array(F.lit("")))).alias("more")
+        near = near.select(text.alias("text"), more, "ph", "is_eval").select(F.concat("text", "more").alias("text"), "ph", "is_eval", F.lit("p").alias("kind"))
     return whole[0].unionByName(whole[1]).unionByName(near)
 
 
@@ -63,7 +89,8 @@ def _popcount(x: np.ndarray) -> np.ndarray:
 
 def scan_shard(pdf: pd.DataFrame, max_distance: int = MAX_DISTANCE) -> pd.DataFrame:
     """Scan one shard. Whole keys match when the automaton finds them; hashes when two pieces agree and at most
-    ``max_distance`` bits differ. A pair of hashes is returned only by the first pair of pieces that agrees."""
+    ``max_distance`` bits differ. A pair of hashes is returned only by the first pair of pieces that agrees and, in a hot
+    one, by the first fifth that does."""
     import ahocorasick
 
     ev, tr = pdf[pdf.is_eval], pdf[~pdf.is_eval]
@@ -87,13 +114,16 @@ def scan_shard(pdf: pd.DataFrame, max_distance: int = MAX_DISTANCE) -> pd.DataFr
         if hashes is None:
             out.append((text[0], text[1:], 0, 0, 0, 1.0))
             continue
-        own = ord(text[1]) - 97
+        own, _, fifth = text.partition("~")
+        own = ord(own[1]) - 97
         for h in train[text]:
             x = (hashes ^ np.int64(h)).view(np.uint64)
             d = _popcount(x)
             for e, diff, dist in zip(hashes[d <= max_distance].tolist(), x[d <= max_distance], d[d <= max_distance].tolist()):
                 same = [not (diff & m) for m in masks]
-                if next(n for n, (i, j) in enumerate(PAIRS) if same[i] and same[j]) == own:
+                if next(n for n, (i, j) in enumerate(PAIRS) if same[i] and same[j]) != own:
+                    continue
+                if not fifth or next(n for n, m in enumerate(FIFTH_MASKS[own]) if not (int(diff) & m)) == int(fifth[0]):
                     covered = sum(w for ok, (_, w) in zip(same, PIECES) if ok) / 64  # the matched stretches, merged
                     out.append(("p", "", h, e, dist, covered))
     return pd.DataFrame(out, columns=empty.columns)

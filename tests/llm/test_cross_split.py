@@ -46,6 +46,15 @@ def test_pairs_equal_brute_force(spark, monkeypatch):
         assert len(got) == len(set(got)) and set(got) == brute(m, s)
 
 
+def test_hot_pieces_are_split_further(spark, monkeypatch):
+    for hot in (0, 3, 10):
+        monkeypatch.setattr(C, "HOT", hot)
+        meta, splits, m, s = data(spark, seed=6)
+        m = [(i, None, f"{0xABCD << 48 | (i * 2654435761) % 65536:016x}" if i % 3 == 0 else p, o, *r) for i, _, p, o, *r in m]
+        got = [(r.train_id, r.eval_id) for r in C.overlaps(spark.createDataFrame(m, META), splits)[1].collect()]
+        assert len(got) == len(set(got)) and set(got) == brute(m, s)
+
+
 def test_report_counts(spark):
     meta, splits, m, s = data(spark)
     want = brute(m, s)

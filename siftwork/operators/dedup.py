@@ -12,6 +12,18 @@ from siftwork.operators.graph import connected_components
 from siftwork.operators.sampling import global_rank
 
 
+#: Members up to which a group's list is written out. Larger groups keep their counts and have a null list; their members
+#: are rows of :func:`duplicate_groups`, so nothing is lost and no task holds an unbounded list.
+LISTED = 10_000
+
+
+def _lists(df: DataFrame, key: str, sizes: DataFrame, size: str, **columns: str) -> DataFrame:
+    """(key, one joined sorted list per column) of the groups that ``sizes`` has with at most LISTED members."""
+    some = df.join(sizes.where(F.col(size) <= LISTED).select(key), key)
+    joined = [F.array_join(F.transform(F.array_sort(F.collect_set(c)), lambda x: x.cast("string")), "; ").alias(name) for name, c in columns.items()]
+    return some.groupBy(key).agg(*joined)
+
+
 def merge_first_wins(inputs: Sequence[DataFrame], keys: Sequence[str], order: str) -> DataFrame:
     """Union of the inputs with one row per key: that of the earliest input, there the least ``order``. Null key parts
     equal the empty text. ``input`` tells where a row came from. A key's rows meet as one partial aggregate, not in a
@@ -49,12 +61,10 @@ def shared_keys(df: DataFrame, key: str, object_col: str, unit_col: str) -> Data
     """Keys that stand with more than one distinct object: (key, object_count, row_count, objects, units), lists sorted.
     Blank keys and objects are skipped."""
     ok = df.where((F.coalesce(F.trim(key), F.lit("")) != "") & (F.coalesce(F.trim(object_col), F.lit("")) != ""))
-    pairs = ok.groupBy(key, object_col, unit_col).agg(F.count("*").alias("n"))
-    return (
-        pairs.groupBy(key)
-        .agg(F.count_distinct(object_col).alias("object_count"), F.sum("n").alias("row_count"), F.array_join(F.array_sort(F.collect_set(object_col)), "; ").alias("objects"), F.array_join(F.array_sort(F.collect_set(unit_col)), "; ").alias("units"))
-        .where("object_count > 1")
-    )
+    triples = ok.groupBy(key, object_col, unit_col).agg(F.count("*").alias("n"))
+    pairs = triples.groupBy(key, object_col).agg(F.sum("n").alias("n"))
+    sizes = pairs.groupBy(key).agg(F.count("*").alias("object_count"), F.sum("n").alias("row_count")).where("object_count > 1")
+    return sizes.join(_lists(triples, key, sizes, "object_count", objects=object_col, units=unit_col), key, "left").select(key, "object_count", "row_count", "objects", "units")
 
 
 def flag_members(df: DataFrame, keys: DataFrame, key: str, flag: str) -> DataFrame:
@@ -80,8 +90,8 @@ def duplicate_groups(df: DataFrame, key: str, id_col: str) -> DataFrame:
 def grouped_ids(df: DataFrame, key: str, id_col: str, object_col: str) -> DataFrame:
     """Groups of two or more rows with one key: (key, n, ids, objects), ids and distinct objects sorted and joined."""
     ok = df.where(F.coalesce(F.trim(key), F.lit("")) != "")
-    many = ok.groupBy(key).agg(F.count("*").alias("n"), F.array_join(F.transform(F.array_sort(F.collect_list(id_col)), lambda x: x.cast("string")), "; ").alias("ids"), F.array_join(F.array_sort(F.collect_set(object_col)), "; ").alias("objects"))
-    return many.where("n > 1")
+    sizes = ok.groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
+    return sizes.join(_lists(ok, key, sizes, "n", ids=id_col, objects=object_col), key, "left").select(key, "n", "ids", "objects")
 
 
 def hamming_pairs(df: DataFrame, id_col: str, bits_col: str, max_distance: int = 4, other: str | None = None) -> DataFrame:
@@ -115,6 +125,9 @@ def hamming_pairs(df: DataFrame, id_col: str, bits_col: str, max_distance: int =
 def near_components(pairs: DataFrame, members: DataFrame, id_col: str, object_col: str) -> DataFrame:
     """(group_id, first_id, size, object_count, ids): the components of near pairs, the largest first, then by least id."""
     comp = connected_components(pairs).withColumnRenamed("node", id_col)
-    per = comp.join(members.select(id_col, object_col).dropDuplicates([id_col]), id_col).groupBy(F.col("component").alias("first_id")).agg(F.count("*").alias("size"), F.count_distinct(object_col).alias("object_count"), F.array_join(F.transform(F.array_sort(F.collect_list(id_col)), lambda x: x.cast("string")), "; ").alias("ids"))
+    named = comp.join(members.select(id_col, object_col).dropDuplicates([id_col]), id_col).withColumnRenamed("component", "first_id")
+    pairs = named.groupBy("first_id", object_col).agg(F.count("*").alias("n"))
+    sizes = pairs.groupBy("first_id").agg(F.sum("n").alias("size"), F.count(object_col).alias("object_count"))
+    per = sizes.join(_lists(named, "first_id", sizes, "size", ids=id_col), "first_id", "left")
     ranked = global_rank(per.withColumn("_less", -F.col("size")), ["_less", "first_id"], "group_id")
     return ranked.select("group_id", "first_id", "size", "object_count", "ids")

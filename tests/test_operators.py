@@ -186,3 +186,17 @@ def test_search(spark):
     assert [(r.vec_id, round(r.score, 6)) for r in search.top_k(df, [5.0, 0.0], 2).collect()] == [(1, 1.0), (2, 1.0)]
     with pytest.raises(ValueError):
         search.top_k(df, [1.0], 0)
+
+
+def test_long_top_lists_are_salted(spark):
+    df = spark.range(5000).select(F.lit("g").alias("g"), ((F.col("id") * 7919) % 5000).alias("x"))
+    got = [r.x for r in sampling.top_per_group(df, "g", ["x"], 1500).collect()]
+    assert sorted(got) == list(range(1500))
+
+
+def test_large_groups_keep_counts_without_lists(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "LISTED", 2)
+    df = spark.createDataFrame([(1, "k", "a"), (2, "k", "b"), (3, "k", "c"), (4, "l", "a"), (5, "l", "b"), (6, "m", "a"), (7, " ", "a")], "id long, k string, o string")
+    assert {tuple(r) for r in dedup.grouped_ids(df, "k", "id", "o").collect()} == {("k", 3, None, None), ("l", 2, "4; 5", "a; b")}
+    assert {(r.k, r.object_count, r.objects) for r in dedup.shared_keys(df, "k", "o", "o").collect()} == {("k", 3, None), ("l", 2, "a; b")}
+    assert dedup.duplicate_groups(df, "k", "id").count() == 5

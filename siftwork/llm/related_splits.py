@@ -41,7 +41,7 @@ def _groups(base: DataFrame, id_col: str) -> DataFrame:
     least = pairs.groupBy("med").agg(F.min("obj").alias("first"), F.max("obj").alias("last")).where("first <> last").select("med", "first")
     ties = cut(pairs.join(least, "med").where("obj <> first").select("obj", "first").distinct(), "ties")
     linked = ties.select("obj").unionAll(ties.select(F.col("first").alias("obj"))).distinct()
-    node = cut(base.select(id_col, "obj").join(linked, "obj").groupBy("obj").agg(F.min(id_col).alias("node")), "nodes")
+    node = cut(base.groupBy("obj").agg(F.min(id_col).alias("node")).join(linked, "obj"), "nodes")  # a hot object is one row before the join
     edges = ties.join(node, "obj").select("first", F.col("node").alias("a")).join(node.select(F.col("obj").alias("first"), F.col("node").alias("b")), "first").select("a", "b")
     comp = connected_components(edges)
     size = comp.groupBy("component").agg(F.count("*").alias("n_objects"))

@@ -184,12 +184,12 @@ def image_quality(spark, d):
 
 
 def _inputs(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "object_id", "title")
-    return [docs.where("doc_id % 3 = 1"), docs.where("doc_id % 3 <> 1")]
+    docs = table(spark, d, "documents").select("doc_id", "object_id", "title", "lang")
+    return [docs.where("lang = 'en'").drop("lang"), docs.where("lang IS DISTINCT FROM 'en'").drop("lang")]
 
 
 _MERGED = """(SELECT *, row_number() OVER (PARTITION BY coalesce(object_id, ''), coalesce(title, '') ORDER BY input, doc_id) AS r FROM
- (SELECT doc_id, object_id, title, CASE WHEN doc_id % 3 = 1 THEN 0 ELSE 1 END AS input FROM documents))"""
+ (SELECT doc_id, object_id, title, CASE WHEN lang = 'en' THEN 0 ELSE 1 END AS input FROM documents))"""
 
 
 @R.query(f"SELECT doc_id, object_id, title, input FROM {_MERGED} WHERE r = 1")
@@ -532,11 +532,10 @@ def set_equality(spark, d):
     return release.set_difference(table(spark, d, "metadata"), table(spark, d, "splits"), "image_id")
 
 
-@R.query("SELECT doc_id FROM (SELECT doc_id, title AS a FROM documents) FULL JOIN (SELECT doc_id, CASE WHEN doc_id % 50 = 0 THEN 'x' ELSE title END AS b FROM documents WHERE doc_id <> 7) USING (doc_id) WHERE a IS DISTINCT FROM b OR doc_id = 7")
+@R.query(f"SELECT image_id FROM (SELECT image_id, lower(trim(object_id)) AS a, true AS x FROM {META}) FULL JOIN (SELECT image_id, object_id AS b, true AS y FROM {_SPLITS}) USING (image_id) WHERE a IS DISTINCT FROM b OR x IS NULL OR y IS NULL")
 def sequence_differences(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "title")
-    other = docs.where("doc_id <> 7").select("doc_id", F.when(F.col("doc_id") % 50 == 0, "x").otherwise(F.col("title")).alias("title"))
-    return release.sequence_differences(docs, other, "doc_id", ["title"])
+    ours = meta(spark, d).select("image_id", F.lower(F.trim("object_id")).alias("object_id"))
+    return release.sequence_differences(ours, _split_rows(spark, d), "image_id", ["object_id"])
 
 
 @R.query("SELECT sha256(text) || '  texts/' || CAST(doc_id AS VARCHAR) || '.txt' AS value FROM documents WHERE text IS NOT NULL")
@@ -545,11 +544,12 @@ def checksum_manifest(spark, d):
     return release.checksum_lines(sums)
 
 
-@R.query("SELECT 'texts/' || CAST(doc_id AS VARCHAR) || '.txt' AS path, CASE WHEN doc_id % 40 = 1 THEN 'missing' WHEN doc_id % 40 = 2 THEN 'mismatch' ELSE 'ok' END AS verdict FROM documents WHERE text IS NOT NULL")
+@R.query("SELECT 'texts/' || CAST(doc_id AS VARCHAR) || '.txt' AS path, CASE WHEN lang IS NULL THEN 'missing' WHEN text <> replace(text, '&amp;', '&') THEN 'mismatch' ELSE 'ok' END AS verdict FROM documents WHERE text IS NOT NULL")
 def checksum_verdicts(spark, d):
-    sums = table(spark, d, "documents").where("text IS NOT NULL").select("doc_id", F.concat(F.lit("texts/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("path"), F.sha2("text", 256).alias("sha256"))
-    actual = sums.where("doc_id % 40 <> 1").withColumn("sha256", F.when(F.col("doc_id") % 40 == 2, F.sha2(F.col("sha256"), 256)).otherwise(F.col("sha256")))
-    return release.verify_checksums(release.checksum_lines(sums), actual)
+    path = F.concat(F.lit("texts/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("path")
+    docs = table(spark, d, "documents").where("text IS NOT NULL")
+    actual = docs.where("lang IS NOT NULL").select(path, F.sha2(F.replace("text", F.lit("&amp;"), F.lit("&")), 256).alias("sha256"))
+    return release.verify_checksums(release.checksum_lines(docs.select(path, F.sha2("text", 256).alias("sha256"))), actual)
 
 
 @R.query(f"""SELECT code, observed, passed FROM (SELECT unnest([
@@ -595,9 +595,11 @@ def _query_vector(spark, d):
 _COS = f"(SELECT x.vec_id, x.label, list_dot_product(x.v, q.v) / (x.n * q.n) AS score FROM {_UNIT} x, (SELECT v, n FROM {_UNIT} WHERE vec_id = 7) q)"
 
 
-@R.query(f"SELECT vec_id, round(score, 6) AS score FROM {_COS} ORDER BY score DESC, vec_id LIMIT 20")
+@R.query(f"""SELECT query_id, vec_id, round(score, 6) AS score FROM (SELECT q.vec_id AS query_id, x.vec_id, list_dot_product(x.v, q.v) / (x.n * q.n) AS score, row_number() OVER (PARTITION BY q.vec_id ORDER BY list_dot_product(x.v, q.v) / (x.n * q.n) DESC, x.vec_id) AS r
+ FROM {_UNIT} x, {_UNIT} q WHERE q.vec_id % 50 = 0) WHERE r <= 10""")
 def cosine_top_k(spark, d):
-    return search.top_k(table(spark, d, "embeddings"), _query_vector(spark, d), 20).select("vec_id", F.round("score", 6).alias("score"))
+    e = table(spark, d, "embeddings")
+    return search.top_k_many(e, e.where("vec_id % 50 = 0"), 10).select("query_id", "vec_id", F.round("score", 6).alias("score"))
 
 
 @R.query(f"SELECT label, vec_id FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY score DESC, vec_id) AS r FROM {_COS}) WHERE r = 1 AND label < 8")

@@ -200,3 +200,20 @@ def test_large_groups_keep_counts_without_lists(spark, monkeypatch):
     assert {tuple(r) for r in dedup.grouped_ids(df, "k", "id", "o").collect()} == {("k", 3, None, None), ("l", 2, "4; 5", "a; b")}
     assert {(r.k, r.object_count, r.objects) for r in dedup.shared_keys(df, "k", "o", "o").collect()} == {("k", 3, None), ("l", 2, "a; b")}
     assert dedup.duplicate_groups(df, "k", "id").count() == 5
+
+
+def test_many_queries_equal_brute_force(spark, monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(search, "BLOCK", 3)
+    r = np.random.default_rng(3)
+    v = {i: r.integers(-2, 3, 4).astype(float).tolist() for i in range(120)}
+    df = spark.createDataFrame([*v.items(), (None, [1.0] * 4), (500, None)], "vec_id long, embedding array<double>").repartition(5)
+    unit = {i: np.array(x) / max(np.linalg.norm(x), 1e-12) for i, x in v.items()}
+    got = {}
+    for x in search.top_k_many(df, df.where("vec_id % 20 = 0"), 5).collect():
+        got.setdefault(x.query_id, []).append(round(x.score, 9))
+    for q in range(0, 120, 20):
+        want = sorted((round(float(unit[q] @ u), 9) for u in unit.values()), reverse=True)[:5]
+        assert np.allclose(sorted(got[q], reverse=True), want)
+    assert search.top_k_many(df, df.where("false"), 5).count() == 0

@@ -14,12 +14,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftwork.llm.surface import words
-from siftwork.session import BROADCAST_BYTES, cut, fits_broadcast
+from siftwork.session import BROADCAST_BYTES, cut
 
 #: Words of a seed; consecutive words that make a leak; windows of so many words have a rare seed each.
 NGRAM, RUN = 6, 12
-#: Items of one block: the items' n-grams are broadcast block by block.
-BLOCK = 20_000
+#: Items and bytes of one block, about: the items' n-grams are broadcast block by block, by their counted sizes.
+BLOCK, BLOCK_BYTES = 20_000, BROADCAST_BYTES
 MATCH, MISMATCH, GAP = 2, -1, -1
 
 SEEDED = "doc_id bigint, item_id bigint, variant int, first int, n_words int, passage string, gram_pos array<int>, gram_hash array<bigint>"
@@ -170,11 +170,9 @@ def leaks(documents: DataFrame, items: DataFrame, n: int = NGRAM, run: int = RUN
     difference. Null and empty texts hold nothing; rows with null ids are left out; a repeated document gives one row per
     item. Items are broadcast in blocks of a checked size, so any number of items will do.
     """
-    if not fits_broadcast(items, 4096, rows=BLOCK, size=4 * BROADCAST_BYTES):
-        parts = -(-items.count() // BLOCK)
-        blocks = [items.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == k) for k in range(parts)]
-    else:
-        blocks = [items]
+    held = items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    parts = max(1, -(-held[0] // BLOCK), -(-held[1] // BLOCK_BYTES))
+    blocks = [items.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == k) for k in range(parts)] if parts > 1 else [items]
     out = None
     for block in blocks:
         found = _leaks(documents, block, n, run)

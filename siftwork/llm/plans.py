@@ -102,5 +102,10 @@ _P4 = f"""WITH j AS MATERIALIZED (SELECT x.*, sp FROM {_META} x JOIN (SELECT ima
  SELECT DISTINCT least(t.image_id, e.image_id) AS image_id_a, greatest(t.image_id, e.image_id) AS image_id_b FROM j t JOIN j e ON t.sp = 'train' AND e.sp IN ('validation', 'test') AND (t.s = e.s OR t.o = e.o OR bit_count(xor(t.h, e.h)) <= 4)"""
 
 
+_P4_REPORT = f"""WITH j AS MATERIALIZED (SELECT x.*, sp FROM {_META} x JOIN (SELECT image_id, any_value(lower(trim(split))) AS sp FROM splits GROUP BY 1) y ON y.image_id = x.image_id),
+ p AS (SELECT e.image_id AS i, count(DISTINCT t.image_id) AS n FROM j t JOIN j e ON t.sp = 'train' AND e.sp IN ('validation', 'test') AND (t.s = e.s OR t.o = e.o OR bit_count(xor(t.h, e.h)) <= 4) GROUP BY 1)
+ SELECT sp AS split, coalesce(institution, '') AS institution, count(*) AS records, count(n) AS overlapping, CAST(coalesce(sum(n), 0) AS BIGINT) AS pairs FROM j LEFT JOIN p ON p.i = j.image_id WHERE sp IN ('validation', 'test') GROUP BY 1, 2"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"p2_found": _P2, "p3_found": _P3, "p4_found": _P4}
+    return {"p2_found": _P2, "p3_found": _P3, "p4_found": _P4, "p4_report": _P4_REPORT}

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from siftwork.functions.values import hamming
 from siftwork.operators.graph import connected_components
 from siftwork.operators.sampling import global_rank
+from siftwork.session import cut
 
 
 #: Members up to which a group's list is written out. Larger groups keep their counts and have a null list; their members
@@ -94,12 +95,24 @@ def grouped_ids(df: DataFrame, key: str, id_col: str, object_col: str) -> DataFr
     return sizes.join(_lists(ok, key, sizes, "n", ids=id_col, objects=object_col), key, "left").select(key, "n", "ids", "objects")
 
 
+#: Codes that share a pair of pieces before it is split further.
+HOT = 20_000
+
+
+def _part_masks(bits: list[int], n: int) -> list[int]:
+    """Masks, as signed numbers, of ``n`` nearly equal parts of the given bits."""
+    edges = [round(len(bits) * m / n) for m in range(n + 1)]
+    out = [sum(1 << b for b in bits[edges[m] : edges[m + 1]]) for m in range(n)]
+    return [m - (1 << 64) if m >> 63 else m for m in out]
+
+
 def hamming_pairs(df: DataFrame, id_col: str, bits_col: str, max_distance: int = 4, other: str | None = None) -> DataFrame:
     """(a, b, distance) of rows whose 64-bit codes differ in at most ``max_distance`` bits, a below b; where ``other`` is
     given, pairs with equal ``other`` are left out.
 
     Exact by the pigeonhole principle: of ``max_distance + 2`` pieces, two agree, so the codes are joined on each pair of
-    pieces. The join runs on distinct codes, and a pair is kept only by the first pair of pieces that agrees; rows with
+    pieces. A pair of pieces that more than HOT codes share is split once more: the other bits make ``max_distance + 1``
+    parts, of which one must agree too. The join runs on distinct codes, and a pair is kept only by the first pair of pieces that agrees; rows with
     equal codes are expanded at the end. Null codes match nothing.
     """
     k = max_distance + 2
@@ -109,7 +122,20 @@ def hamming_pairs(df: DataFrame, id_col: str, bits_col: str, max_distance: int =
     piece = lambda h, i: F.shiftrightunsigned(h, edges[i]).bitwiseAND(F.lit((1 << (edges[i + 1] - edges[i])) - 1))
     pairs = [(i, j) for i in range(k) for j in range(i + 1, k)]
     keyed = codes.select("h", F.posexplode(F.array(*[F.struct(piece(F.col("h"), i).alias("x"), piece(F.col("h"), j).alias("y")) for i, j in pairs])).alias("p", "k")).select("h", "p", "k.x", "k.y")
-    near = keyed.select(F.col("h").alias("h1"), "p", "x", "y").join(keyed.select(F.col("h").alias("h2"), "p", "x", "y"), ["p", "x", "y"]).where("h1 < h2")
+    hot = cut(keyed.groupBy("p", "x", "y").agg(F.count("*").alias("c")).where(F.col("c") > HOT).select("p", "x", "y"), "hot")
+    masks = [_part_masks([b for q in range(k) if q not in (i, j) for b in range(edges[q], edges[q + 1])], max_distance + 1) for i, j in pairs]
+    part = lambda h, m: h.bitwiseAND(F.element_at(F.array(*[F.lit(own[m]) for own in masks]), F.col("p") + 1))
+    none = F.array(F.struct(F.lit(-1).alias("m"), F.lit(0).cast("bigint").alias("s")))
+    split = none
+    if not hot.isEmpty():
+        parts = F.array(*[F.struct(F.lit(m).alias("m"), part(F.col("h"), m).alias("s")) for m in range(max_distance + 1)])
+        keyed = keyed.join(hot.withColumn("hot", F.lit(True)), ["p", "x", "y"], "left")
+        split = F.when(F.col("hot").isNotNull(), parts).otherwise(none)
+    keyed = keyed.select("h", "p", "x", "y", F.explode(split).alias("k")).select("h", "p", "x", "y", "k.m", "k.s")
+    on = ["p", "x", "y", "m", "s"]
+    near = keyed.withColumnRenamed("h", "h1").join(keyed.withColumnRenamed("h", "h2"), on).where("h1 < h2")
+    first_part = F.coalesce(*[F.when(part(F.col("h1").bitwiseXOR(F.col("h2")), m) == 0, F.lit(m)) for m in range(max_distance + 1)])
+    near = near.where((F.col("m") == -1) | (F.col("m") == first_part))
     near = near.withColumn("distance", hamming("h1", "h2")).where(F.col("distance") <= max_distance)
     agree = [piece(F.col("h1"), i) == piece(F.col("h2"), i) for i in range(k)]
     first = F.coalesce(*[F.when(agree[i] & agree[j], F.lit(n)) for n, (i, j) in enumerate(pairs)])

@@ -58,7 +58,9 @@ def test_components_of_a_star_and_a_chain(spark):
     assert {r.component: r["count"] for r in got} == {0: 500, 1000: 301}
 
 
-def test_hamming_pairs_against_brute_force(spark):
+@pytest.mark.parametrize("hot", [20_000, 2])
+def test_hamming_pairs_against_brute_force(spark, monkeypatch, hot):
+    monkeypatch.setattr(dedup, "HOT", hot)
     r = random.Random(8)
     codes = [r.getrandbits(64) for _ in range(40)]
     rows = [(i, (lambda x: x - (1 << 64) if x >> 63 else x)(r.choice(codes) ^ sum(1 << b for b in r.sample(range(64), r.randrange(6)))), r.choice("pq")) for i in range(200)] + [(900, None, "p")]

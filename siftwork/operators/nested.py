@@ -1,18 +1,19 @@
 """Deeply nested semi-structured records: related flat tables that keep parent-child links.
 
-Method: a merged schema is inferred over all records, then each array level is exploded recursively into a child table
-that carries the parent's surrogate key and the ordinal in the array.
+Method: a merged schema is inferred over all records, then each array level it has is exploded recursively into a child
+table that carries the parent's surrogate key and the ordinal in the array; every scalar path becomes a column.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 
 @dataclass(frozen=True)
@@ -75,32 +76,98 @@ def _utf8(s: str) -> str:
     return s.encode("utf-8", "replace").decode()
 
 
-def infer_schema(df: DataFrame, text_col: str = "record_json") -> DataFrame:
-    """(path, kind, n): the merged schema of all records: every path with the kinds of value found there and their
-    counts, partial counts made per batch. Object text counts as an object. Broken JSON has the path ``!broken``."""
+def _schema(df: DataFrame, text_col: str, step: Callable[[tuple, object], tuple], shown: Callable[[tuple], str]) -> DataFrame:
+    """(path, kind, n) over all records. ``step`` gives the path of a value from its parent's path and its key, None for
+    an element of an array; ``shown`` gives the path as text."""
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            count: dict[tuple[str, str], int] = {}
+            count: dict[tuple[tuple, str], int] = {}
             for text in b[text_col]:
                 x = load(text)
-                todo = [("$", x)] if x is not None else []
+                todo = [(("$",), x)] if x is not None else []
                 if x is None and text is not None:
-                    count["!broken", "string"] = count.get(("!broken", "string"), 0) + 1
+                    count[("!broken",), "string"] = count.get((("!broken",), "string"), 0) + 1
                 while todo:
                     path, v = todo.pop()
                     v = as_object(v)
                     k = (path, _kind(v))
                     count[k] = count.get(k, 0) + 1
                     if isinstance(v, dict):
-                        todo += [(f"{path}.{_utf8(a)}", w) for a, w in v.items()]
+                        todo += [(step(path, a), w) for a, w in v.items()]
                     elif isinstance(v, list):
-                        todo += [(path + "[]", w) for w in v]
-            yield pd.DataFrame([(p, k, n) for (p, k), n in count.items()], columns=["path", "kind", "n"])
+                        below = step(path, None)
+                        todo += [(below, w) for w in v]
+            yield pd.DataFrame([(shown(p), k, n) for (p, k), n in count.items()], columns=["path", "kind", "n"])
 
     return df.select(text_col).mapInPandas(walk, "path string, kind string, n bigint").groupBy("path", "kind").agg(F.sum("n").alias("n"))
 
 
+def infer_schema(df: DataFrame, text_col: str = "record_json") -> DataFrame:
+    """(path, kind, n): the merged schema of all records: every path with the kinds of value found there and their
+    counts, partial counts made per batch. Object text counts as an object. Broken JSON has the path ``!broken``."""
+    return _schema(df, text_col, lambda p, k: (*p[:-1], p[-1] + "[]") if k is None else (*p, k), lambda p: _utf8(".".join(p)))
+
+
+def infer_levels(df: DataFrame, text_col: str = "record_json", levels: tuple[Level, ...] = RECORD_LEVELS) -> tuple[tuple[Level, ...], dict[str, list[tuple[str, ...]]]]:
+    """(levels, columns) of the merged schema. levels: ``levels`` and every other array of the records, a table of its own
+    named by its path. columns: for each table, and for ``records``, the paths of its scalars from its element on.
+
+    The keys that ``*`` stands for are one path, so what is collected is as wide as the schema, not as the data.
+    """
+    stars = {("$", *x.path[:i]) for x in levels for i, k in enumerate(x.path) if k == "*"}
+    found = _schema(df, text_col, lambda p, k: (*p, "*" if k is not None and p in stars else k), lambda p: json.dumps(p[1:])).select("path", "kind").collect()
+    kinds = [(tuple(json.loads(r.path)), r.kind) for r in found]
+    names: dict[tuple, tuple[str, str]] = {}
+
+    def name(given: tuple[Level, ...], at: tuple) -> None:
+        for x in given:
+            names[(*at, *x.path)] = (x.table, x.shown)
+            name(x.children, (*at, *x.path, None))
+
+    name(levels, ())
+    arrays = {p for p, kind in kinds if kind == "array"} | set(names)
+
+    def whole(path: tuple) -> tuple:
+        """``path`` with a step into the element after each array, also where a value stands for its only element."""
+        out: list = []
+        for k in path:
+            while k is not None and tuple(out) in arrays:
+                out.append(None)
+            out.append(k)
+        return tuple(out)
+
+    while (more := {whole(p) for p in arrays}) != arrays:
+        arrays = more
+    below: dict[tuple, list[tuple]] = {}
+    for p in sorted(arrays, key=lambda p: (list(names).index(p) if p in names else len(names), [k or "" for k in p])):
+        below.setdefault(_parent(p), []).append(p)
+    columns: dict[str, list[tuple[str, ...]]] = {}
+    tables: dict[tuple, str] = {(): "records"}
+
+    def build(at: tuple, prefix: str) -> tuple[Level, ...]:
+        out = []
+        for p in below.get(at, []):
+            own = p[len(at) :]
+            table, shown = names.get(p, (f"{prefix}.{'.'.join(own)}" if prefix and own else prefix + "[]" if prefix else ".".join(own), ".".join(own)))
+            while table in tables.values():
+                table += "_"
+            tables[*p, None] = table
+            out.append(Level(table, own, shown, build((*p, None), table)))
+        return tuple(out)
+
+    made = build((), "")
+    for p in sorted({whole(p) for p, kind in kinds if kind in ("string", "number", "boolean")} - arrays, key=lambda p: [k or "" for k in p]):
+        if own := p[len(_parent(p)) :]:
+            columns.setdefault(tables[_parent(p)], []).append(own)
+    return made, columns
+
+
+def _parent(path: tuple) -> tuple:
+    """The path up to its last step into an element."""
+    return path[: max((i + 1 for i, k in enumerate(path) if k is None), default=0)]
+
+
 def _elements(x: object, path: tuple[str, ...], shown: str) -> list[tuple[str, list]]:
     """(shown path, array) of each array at ``path`` below ``x``."""
     found = [(shown, x)]
@@ -114,6 +181,70 @@ def _elements(x: object, path: tuple[str, ...], shown: str) -> list[tuple[str, l
     return [(name, as_array(v)) for name, v in found]
 
 
+def _nodes(x: object, levels: tuple[Level, ...], parent: str = "") -> Iterator[tuple[Level, str, str, int, object]]:
+    """(level, item_path, parent_path, ordinal, element) of each non-null element, a parent before its children."""
+    for level in levels:
+        begin = f"{parent}.{level.shown}" if parent and level.shown else parent + level.shown
+        for name, items in _elements(x, level.path, begin):
+            name = _utf8(name)
+            for i, v in enumerate(items):
+                if v is not None:
+                    v = as_object(v)
+                    yield level, (path := f"{name}[{i}]"), parent, i, v
+                    yield from _nodes(v, level.children, path)
+
+
+def _without(x: object, levels: tuple[Level, ...]) -> object:
+    """``x`` without the arrays of ``levels``; ``x`` itself isn't changed."""
+    for level in levels:
+        x = _drop(x, level.path)
+    return x
+
+
+def _drop(x: object, path: tuple[str, ...]) -> object:
+    if not path:
+        return [] if isinstance(x, list) else x
+    y = as_object(x)
+    if not isinstance(y, dict):
+        return x
+    gone = set(y) if path[0] == "*" else {path[0]} & set(y)
+    if len(path) == 1:
+        return {k: v for k, v in y.items() if k not in gone}
+    return {k: _drop(v, path[1:]) if k in gone else v for k, v in y.items()} if gone else x
+
+
+def _json(x: object) -> str:
+    return json.dumps(x, separators=(",", ":"))
+
+
+def _text(x: object) -> str | None:
+    return None if x is None else _utf8(x if isinstance(x, str) else json.dumps(x))
+
+
+def _label(x: object) -> str | None:
+    return _text(x.get("label")) if isinstance(x, dict) else None
+
+
+def _content(x: object) -> str | None:
+    return _text(x.get("content") if isinstance(x, dict) else x)
+
+
+def _scalar(x: object, path: tuple[str, ...]) -> str | None:
+    """The scalar at ``path`` as text, objects in text read on the way."""
+    for k in path:
+        x = as_object(x)
+        if not isinstance(x, dict):
+            return None
+        x = x.get(k)
+    x = as_object(x)
+    return None if isinstance(x, (dict, list)) else _text(x)
+
+
+def _once(df: DataFrame, id_col: str, text_col: str, unique_ids: bool = False) -> DataFrame:
+    once = df.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(id_col, text_col)
+    return once if unique_ids else once.groupBy(id_col).agg(F.min(text_col).alias(text_col))
+
+
 def explode_levels(df: DataFrame, id_col: str = "line_id", text_col: str = "record_json", levels: tuple[Level, ...] = RECORD_LEVELS, with_values: bool = True, unique_ids: bool = False) -> DataFrame:
     """All child tables in one long table: (id, table, item_path, parent_path, ordinal, label, content, value).
 
@@ -126,35 +257,14 @@ def explode_levels(df: DataFrame, id_col: str = "line_id", text_col: str = "reco
     there are none; an empty table gives an empty table.
     """
 
-    def emit(rows: list[tuple], key: int, x: object, parent: str, level: Level) -> None:
-        for name, items in _elements(x, level.path, f"{parent}.{level.shown}" if parent else level.shown):
-            name = _utf8(name)
-            for i, v in enumerate(items):
-                if v is None:
-                    continue
-                path = f"{name}[{i}]"
-                v = as_object(v)
-                label = content = value = None
-                if with_values:
-                    if isinstance(v, dict):
-                        lab, con = v.get("label"), v.get("content")
-                        label = None if lab is None else _utf8(lab if isinstance(lab, str) else json.dumps(lab))
-                        content = None if con is None else _utf8(con if isinstance(con, str) else json.dumps(con))
-                        own = {k: w for k, w in v.items() if not any(c.path[0] == k for c in level.children)}
-                    else:
-                        own, content = v, _utf8(v if isinstance(v, str) else json.dumps(v))
-                    value = json.dumps(own, separators=(",", ":"))
-                rows.append((key, level.table, path, _utf8(parent), i, label, content, value))
-                for child in level.children:
-                    emit(rows, key, v, path, child)
-
     def explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows: list[tuple] = []
             for key, text in zip(b[id_col], b[text_col]):
                 if (x := load(text)) is not None:
-                    for level in levels:
-                        emit(rows, key, x, "", level)
+                    for level, path, parent, i, v in _nodes(x, levels):
+                        shown = (_label(v), _content(v), _json(_without(v, level.children))) if with_values else (None, None, None)
+                        rows.append((key, level.table, path, parent, i, *shown))
                 if len(rows) > 20_000:
                     yield pd.DataFrame(rows, columns=names)
                     rows = []
@@ -162,32 +272,83 @@ def explode_levels(df: DataFrame, id_col: str = "line_id", text_col: str = "reco
 
     names = [id_col, "table", "item_path", "parent_path", "ordinal", "label", "content", "value"]
     kind = df.schema[id_col].dataType.simpleString()
-    once = df.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(id_col, text_col)
-    if not unique_ids:
-        once = once.groupBy(id_col).agg(F.min(text_col).alias(text_col))
-    return once.mapInPandas(explode, f"{id_col} {kind}, table string, item_path string, parent_path string, ordinal int, label string, content string, value string")
+    return _once(df, id_col, text_col, unique_ids).mapInPandas(explode, f"{id_col} {kind}, table string, item_path string, parent_path string, ordinal int, label string, content string, value string")
+
+
+#: The columns that have names of their own, in this order; every other scalar path of the schema comes after them.
+_DNR = ("content", "descriptiveNonRepeating")
+FIELDS: dict[str, dict[str, tuple[str, ...]]] = {
+    "records": {"record_id": ("id",), "unit_code": ("unitCode",), "title": ("title",), "type": ("type",), "hash": ("hash",), "object_id": (*_DNR, "record_ID"), "data_source": (*_DNR, "data_source"), "metadata_access": (*_DNR, "metadata_usage", "access")},
+    "freetext": {"label": ("label",), "content": ("content",)},
+    "indexed_terms": {"content": ("content",)},
+    "media": {n: (n,) for n in ("id", "idsId", "guid", "type", "caption", "thumbnail", "content")} | {"access": ("usage", "access")},
+    "resources": {n: (n,) for n in ("label", "url", "width", "height")},
+}
+NUMBERS = {"resources": ("width", "height")}
 
 
 def flat_tables(df: DataFrame, id_col: str = "line_id", text_col: str = "record_json") -> dict[str, DataFrame]:
-    """The related tables of museum records: records, freetext, indexed_terms, media, resources. ``key`` is a row's
-    surrogate key and ``parent_key`` its parent's; a record's key is its id as text."""
-    nodes = explode_levels(df, id_col, text_col)
-    own = F.concat_ws(":", F.col(id_col).cast("string"), "item_path").alias("key")
-    up = F.concat_ws(":", F.col(id_col).cast("string"), F.nullif("parent_path", F.lit(""))).alias("parent_key")
-    field = lambda *names: [F.get_json_object("value", f"$.{n}").alias(n) for n in names]
-    number = lambda n: F.expr(f"try_cast(get_json_object(value, '$.{n}') AS bigint)").alias(n)
-    group = F.regexp_extract("item_path", r"^[^.]+\.(.*)\[\d+\]$", 1).alias("group")
-    part = lambda t, *cols: nodes.where(F.col("table") == t).select(id_col, own, up, "item_path", "ordinal", *cols)
-    body = F.coalesce(F.when(F.get_json_object(text_col, "$.content").isNull(), F.get_json_object(text_col, "$.record")), F.col(text_col))
-    top = lambda p, a: F.get_json_object("body", p).alias(a)
-    records = (
-        df.where(F.col(id_col).isNotNull() & F.try_parse_json(text_col).isNotNull()).groupBy(id_col).agg(F.min(text_col).alias(text_col)).select(id_col, body.alias("body"))
-        .select(id_col, F.col(id_col).cast("string").alias("key"), top("$.id", "record_id"), top("$.unitCode", "unit_code"), top("$.title", "title"), top("$.type", "type"), top("$.hash", "hash"), top("$.content.descriptiveNonRepeating.record_ID", "object_id"), top("$.content.descriptiveNonRepeating.data_source", "data_source"), top("$.content.descriptiveNonRepeating.metadata_usage.access", "metadata_access"))
-    )
-    return {
-        "records": records,
-        "freetext": part("freetext", group, "label", "content"),
-        "indexed_terms": part("indexed_terms", group, "content"),
-        "media": part("media", *field("id", "idsId", "guid", "type", "caption", "thumbnail"), "content", F.get_json_object("value", "$.usage.access").alias("access")),
-        "resources": part("resources", "label", F.get_json_object("value", "$.url").alias("url"), number("width"), number("height")),
+    """The related tables of museum records: records, freetext, indexed_terms, media, resources, and one more for each
+    other array of the merged schema. ``key`` is a row's surrogate key and ``parent_key`` its parent's; a record's key is
+    its id as text. Every scalar path of the merged schema is a column: those of FIELDS under their names, the others
+    under their path joined by ``_``. ``content`` is the element itself where that is a scalar; ``value`` is the row
+    as JSON without its child arrays. The schema is inferred when this is called."""
+    levels, columns = infer_levels(df, text_col)
+    once = _once(df, id_col, text_col)
+    out = {"records": _flat(once, id_col, text_col, "records", levels, columns)}
+
+    def add(given: tuple[Level, ...]) -> None:
+        for x in given:
+            out[x.table] = _flat(once, id_col, text_col, x.table, levels, columns)
+            add(x.children)
+
+    add(levels)
+    return out
+
+
+def _flat(once: DataFrame, id_col: str, text_col: str, table: str, levels: tuple[Level, ...], columns: dict[str, list[tuple[str, ...]]]) -> DataFrame:
+    fields = dict(FIELDS.get(table, {"content": ("content",)}))
+    head = [id_col, "key"] if table == "records" else [id_col, "key", "parent_key", "item_path", "ordinal", *(["group"] if table in ("freetext", "indexed_terms") else [])]
+    known, taken = set(fields.values()), {x.lower() for x in (*head, *fields, "value")}
+    for path in columns.get(table, []):
+        if path not in known:
+            name = _utf8("_".join(path)) or "_"
+            while name.lower() in taken:
+                name += "_"
+            taken.add(name.lower())
+            fields[name] = path
+    paths = [None if p == ("content",) and table != "records" else p for p in fields.values()]
+    shape = StructType([once.schema[id_col], StructField("item_path", StringType()), StructField("parent_path", StringType()), StructField("ordinal", IntegerType()), *[StructField(f"f{i}", StringType()) for i in range(len(paths))], StructField("value", StringType())])
+    names = shape.names
+
+    def rows_of(x: dict) -> Iterator[tuple]:
+        if table == "records":
+            yield "", "", 0, *[_scalar(x, p) for p in paths], _json(_without(x, levels))
+            return
+        for level, path, parent, i, v in _nodes(x, levels):
+            if level.table == table:
+                yield path, parent, i, *[_content(v) if p is None else _scalar(v, p) for p in paths], _json(_without(v, level.children))
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows: list[tuple] = []
+            for key, text in zip(b[id_col], b[text_col]):
+                if (x := load(text)) is not None:
+                    rows += [(key, *r) for r in rows_of(x)]
+                if len(rows) > 20_000:
+                    yield pd.DataFrame(rows, columns=names)
+                    rows = []
+            yield pd.DataFrame(rows, columns=names)
+
+    text = F.col(id_col).cast("string")
+    made = {
+        id_col: F.col(id_col),
+        "key": text if table == "records" else F.concat_ws(":", text, "item_path"),
+        "parent_key": F.concat_ws(":", text, F.nullif("parent_path", F.lit(""))),
+        "item_path": F.col("item_path"),
+        "ordinal": F.col("ordinal"),
+        "group": F.regexp_extract("item_path", r"^[^.]+\.(.*)\[\d+\]$", 1),
     }
+    number = NUMBERS.get(table, ())
+    cells = [(F.expr(f"try_cast(f{i} AS bigint)") if n in number else F.col(f"f{i}")).alias(n) for i, n in enumerate(fields)]
+    return once.mapInPandas(read, shape).select(*[made[n].alias(n) for n in head], *cells, "value")

@@ -81,3 +81,22 @@ def test_depicted_name_is_no_creator_and_closed_records_give_nothing(spark):
     y["content"]["descriptiveNonRepeating"] = json.loads(y["content"]["descriptiveNonRepeating"]) | {"metadata_usage": {"access": "x"}}
     out = flatten.candidates(rows(spark, json.dumps(x), json.dumps(y))).collect()
     assert [(r.creator, r.related_names) for r in out] == [(None, "Q")]
+
+
+def test_tables_and_columns_follow_the_schema(spark):
+    x = json.loads(json.dumps(RECORD)) | {"url": "u", "extra": {"tags": ["p", {"q": 1, "deep": [[5, None], 6]}], "n": 2}}
+    x["content"]["indexedStructured"]["geo"] = {"L1": {"content": "c", "type": "t"}, "alt": [{"z": "w"}]}
+    x["content"]["descriptiveNonRepeating"] = json.dumps(json.loads(x["content"]["descriptiveNonRepeating"]) | {"guid": "g", "unit_code": "U"})
+    t = nested.flat_tables(rows(spark, json.dumps(x), "{broken", "[1]"))
+    (r,) = t["records"].collect()
+    assert (r.object_id, r.unit_code, r.url, r.timestamp, r.lastTimeUpdated, r.extra_n) == ("o1", "U", "u", "5", "6", "2")
+    assert (r.content_descriptiveNonRepeating_guid, r.content_descriptiveNonRepeating_unit_code, r.content_descriptiveNonRepeating_title_content) == ("g", "U", "Title")
+    left = json.loads(r.value)
+    assert left["url"] == "u" and left["extra"] == {"n": 2} and left["content"]["freetext"] == {}
+    (geo,) = t["indexed_terms"].where("group = 'geo'").collect()
+    assert (geo.content, geo.L1_content, geo.L1_type, json.loads(geo.value)) == (None, "c", "t", {"L1": {"content": "c", "type": "t"}})
+    (alt,) = t["indexed_terms.alt"].collect()
+    assert (alt.item_path, alt.parent_key, alt.z) == ("indexedStructured.geo[0].alt[0]", geo.key, "w")
+    assert [(v.item_path, v.content, v.q) for v in t["extra.tags"].orderBy("ordinal").collect()] == [("extra.tags[0]", "p", None), ("extra.tags[1]", None, "1")]
+    assert {(v.item_path, v.parent_key, v.content) for v in t["extra.tags.deep[]"].collect()} == {("extra.tags[1].deep[0][0]", "0:extra.tags[1].deep[0]", "5"), ("extra.tags[1].deep[1][0]", "0:extra.tags[1].deep[1]", "6")}
+    assert t["records"].columns[:10] == ["line_id", "key", "record_id", "unit_code", "title", "type", "hash", "object_id", "data_source", "metadata_access"]

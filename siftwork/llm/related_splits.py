@@ -54,16 +54,17 @@ def spanning_groups(records: DataFrame, id_col: str = "image_id", object_col: st
     return base.select("obj", id_col).join(groups, "obj").select(F.col("group_id").alias("group_image_id"), id_col)
 
 
-def anneal(vectors: np.ndarray, start: np.ndarray, want: np.ndarray, seed: int, chains: int = CHAINS, steps: int = STEPS) -> np.ndarray:
+def anneal(vectors: np.ndarray, start: np.ndarray, want: np.ndarray, seed: int, chains: int = CHAINS, steps: int = STEPS, scale: np.ndarray | None = None) -> np.ndarray:
     """Component swap search. ``vectors``: a row per component with its size and then its records of each label;
-    ``start``: its split; ``want``: a row per split of the same columns. Each chain proposes to move a component or to
+    ``start``: its split; ``want``: a row per split of the same columns; a deviation counts as a part of ``scale``, by
+    default the sum of what is wanted. Each chain proposes to move a component or to
     exchange two of different splits, takes what lowers the deviation and, by a falling temperature, some of what
     raises it. The best assignment of all chains, the start included, is returned."""
     n, k = len(vectors), len(want)
     best, best_cost = start.copy(), np.inf
     if n == 0:
         return best
-    scale = np.maximum(want.sum(axis=0), 1)
+    scale = np.maximum(want.sum(axis=0) if scale is None else scale, 1e-9)
     weight = np.full(vectors.shape[1], 1 / max(1, vectors.shape[1] - 1))
     weight[0] = 1
     factor = np.sqrt(weight) / scale
@@ -112,9 +113,10 @@ def assign_splits(records: DataFrame, id_col: str = "image_id", object_col: str
     """(id, group_id, split): records tied by object or medium share a split; sizes and labels are near ``ratios``.
 
     Each component starts in the split its hash gives. The heavy components, at most 2,000 whatever the data, are
-    annealed together against the global targets; the rest is dealt by hash to shards of about 20,000 components,
-    which anneal in parallel, each against its share of what the heavy ones left open. Null labels are a label of their
-    own. The result depends on the data and ``seed`` only.
+    annealed together against the targets of all records, in size and in each label; the rest is dealt by hash to shards
+    of about 20,000 components, which anneal in parallel. For the size and for each label, a shard aims at its part of
+    what the heavy ones left of every split's target, below zero where they hold more than that. Null labels are a
+    label of their own. The result depends on the data and ``seed`` only.
     """
     if len(ratios) != len(names) or abs(sum(ratios) - 1) > 1e-9 or min(ratios) < 0:
         raise ValueError("ratios must be as many as names, not negative, and sum to 1")
@@ -136,36 +138,46 @@ def assign_splits(records: DataFrame, id_col: str = "image_id", object_col: str
     comps = comps.withColumn("start", start.cast("int")).withColumn("shard", F.pmod(F.xxhash64(F.lit(seed + 1), "group_id"), F.lit(shards)).cast("int"))
     shape = "group_id bigint, split int"
 
-    def vectors(pdf: pd.DataFrame) -> tuple[np.ndarray, list[str]]:
-        dicts = [dict(x) for x in pdf.labels]
-        labels = sorted({k for d in dicts for k in d})
+    def vectors(pdf: pd.DataFrame, labels: list[str]) -> np.ndarray:
         at = {k: i + 1 for i, k in enumerate(labels)}
         v = np.zeros((len(pdf), len(labels) + 1))
         v[:, 0] = pdf["size"]
-        for i, d in enumerate(dicts):
-            for k, n in d.items():
+        for i, d in enumerate(pdf.labels):
+            for k, n in dict(d).items():
                 v[i, at[k]] = n
-        return v, labels
+        return v
 
     share = np.array(ratios)
+    sums = comps.select(heavy.alias("heavy"), F.explode("labels").alias("_label", "n")).groupBy("_label").agg(F.sum("n").alias("total"), F.sum(F.when(~F.col("heavy"), F.col("n"))).alias("rest"))
 
-    def place_heavy(pdf: pd.DataFrame) -> pd.DataFrame:
-        v, _ = vectors(pdf)
-        return pd.DataFrame({"group_id": pdf.group_id, "split": anneal(v, pdf.start.to_numpy(), np.outer(share, v.sum(axis=0)), seed, steps=60)})
+    def place_heavy(key: tuple, pdf: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
+        pdf, marks = pdf.sort_values("group_id"), marks.sort_values("_label")
+        v = vectors(pdf, list(marks["_label"]))
+        totals = np.array([total, *marks.total], dtype=float)
+        return pd.DataFrame({"group_id": pdf.group_id, "split": anneal(v, pdf.start.to_numpy(), np.outer(share, totals), seed, steps=60)})
 
-    big = comps.where(heavy).withColumn("shard", F.lit(0)).groupBy("shard").applyInPandas(lambda p: place_heavy(p.sort_values("group_id")), shape)
+    one = comps.where(heavy).withColumn("shard", F.lit(0))
+    own_marks = one.select(F.col("shard").alias("of"), F.explode(F.map_keys("labels")).alias("_label")).distinct().join(sums, "_label").select("of", "_label", "total")
+    big = one.groupBy("shard").cogroup(own_marks.groupBy("of")).applyInPandas(place_heavy, shape)
     big = cut(big, "heavy")
-    held = {r["split"]: r["n"] for r in big.join(comps.select("group_id", "size"), "group_id").groupBy("split").agg(F.sum("size").alias("n")).collect()}  # at most one row per split
-    open_share = np.maximum(share * total - np.array([held.get(i, 0) for i in range(len(names))], dtype=float), 0)
-    open_share = open_share / open_share.sum() if open_share.sum() else share
-
-    def place(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("group_id")
-        v, _ = vectors(pdf)
-        return pd.DataFrame({"group_id": pdf.group_id, "split": anneal(v, pdf.start.to_numpy(), np.outer(open_share, v.sum(axis=0)), seed + int(pdf.shard.iloc[0]))})
+    placed_big = big.join(comps.select("group_id", "size", "labels"), "group_id")
+    held = {r["split"]: r["n"] for r in placed_big.groupBy("split").agg(F.sum("size").alias("n")).collect()}  # at most one row per split
+    held_size = np.array([held.get(i, 0) for i in range(len(names))], dtype=float)
+    held_label = placed_big.select("split", F.explode("labels").alias("_label", "n")).groupBy("_label").agg(*[F.coalesce(F.sum(F.when(F.col("split") == i, F.col("n"))), F.lit(0)).alias(f"h{i}") for i in range(len(names))])
+    rest_marks = sums.where("rest > 0").join(held_label, "_label", "left").na.fill(0)
+
+    def place(key: tuple, pdf: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
+        pdf, marks = pdf.sort_values("group_id"), marks.sort_values("_label")
+        v = vectors(pdf, list(marks["_label"]))
+        totals = np.array([total, *marks.total], dtype=float)
+        holds = np.column_stack([held_size, marks[[f"h{i}" for i in range(len(names))]].to_numpy(dtype=float).T])
+        part = v.sum(axis=0) / np.array([total - held_size.sum(), *marks.rest], dtype=float)
+        want = (np.outer(share, totals) - holds) * part
+        return pd.DataFrame({"group_id": pdf.group_id, "split": anneal(v, pdf.start.to_numpy(), want, seed + int(key[0]), scale=totals * part)})
 
     dealt = comps.where(~heavy).repartition(shards, "shard")  # so many tasks: adaptive execution would run small ones together
-    rest = dealt.groupBy("shard").applyInPandas(lambda p: place(p), shape)
+    dealt_marks = comps.where(~heavy).select(F.col("shard").alias("of"), F.explode(F.map_keys("labels")).alias("_label")).distinct().join(rest_marks, "_label").repartition(shards, "of")
+    rest = dealt.groupBy("shard").cogroup(dealt_marks.groupBy("of")).applyInPandas(place, shape)
     placed = big.unionByName(rest)
     name = F.element_at(F.array(*[F.lit(x) for x in names]), F.col("split") + 1)
     return keyed.join(placed, "group_id").select(id_col, "group_id", name.alias("split"))

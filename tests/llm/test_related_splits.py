@@ -99,3 +99,17 @@ def test_report_empty_and_bad_ratios(spark):
     assert report["train"].records == 0 and report["train"].share == 0.0
     with pytest.raises(ValueError):
         S.assign_splits(df, ratios=(0.8, 0.1, 0.2))
+
+
+@pytest.mark.parametrize("shard", [20_000, 150])
+def test_labels_are_near_their_shares_beside_a_heavy_component(spark, monkeypatch, shard):
+    monkeypatch.setattr(S, "SHARD", shard)
+    r = random.Random(4)
+    rows = [(i, "ALBUM" if i < 600 else f"o{i}", None, "x" if i < 600 else r.choice("xxyyyz"), "", 0) for i in range(1800)]
+    out = {r.image_id: r.split for r in S.assign_splits(spark.createDataFrame(rows, SHAPE)).collect()}
+    assert len({out[i] for i in range(600)}) == 1
+    n = Counter((c, out[i]) for i, _, _, c, *_ in rows)
+    every = Counter(c for _, _, _, c, *_ in rows)
+    for c in "xyz":
+        for split, share in zip(S.SPLITS, S.RATIOS):
+            assert abs(n[c, split] / every[c] - share) < 0.02, (c, split, n)

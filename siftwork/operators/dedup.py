@@ -13,14 +13,15 @@ from siftwork.operators.sampling import global_rank
 from siftwork.session import cut
 
 
-#: Members up to which a group's list is written out. Larger groups keep their counts and have a null list; their members
-#: are rows of :func:`duplicate_groups`, so nothing is lost and no task holds an unbounded list.
+#: Members up to which a group's list is written out where ``whole`` isn't asked for. Larger groups then keep their counts
+#: and have a null list; :func:`duplicate_groups` on the same key has their members as rows. The queries ask for all.
 LISTED = 10_000
 
 
-def _lists(df: DataFrame, key: str, sizes: DataFrame, size: str, **columns: str) -> DataFrame:
-    """(key, one joined sorted list per column) of the groups that ``sizes`` has with at most LISTED members."""
-    some = df.join(sizes.where(F.col(size) <= LISTED).select(key), key)
+def _lists(df: DataFrame, key: str, sizes: DataFrame, size: str, whole: bool, **columns: str) -> DataFrame:
+    """(key, one joined sorted list per column) of the groups that ``sizes`` has, unless ``whole`` only of those with at
+    most LISTED members. A whole list is one cell, so one task has to hold it."""
+    some = df.join((sizes if whole else sizes.where(F.col(size) <= LISTED)).select(key), key)
     joined = [F.array_join(F.transform(F.array_sort(F.collect_set(c)), lambda x: x.cast("string")), "; ").alias(name) for name, c in columns.items()]
     return some.groupBy(key).agg(*joined)
 
@@ -58,14 +59,14 @@ def duplicate_pairs(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame
     return with_key.join(first, names).where(F.col(order) > F.col("_first")).drop(*names, "_first")
 
 
-def shared_keys(df: DataFrame, key: str, object_col: str, unit_col: str) -> DataFrame:
+def shared_keys(df: DataFrame, key: str, object_col: str, unit_col: str, whole: bool = False) -> DataFrame:
     """Keys that stand with more than one distinct object: (key, object_count, row_count, objects, units), lists sorted.
-    Blank keys and objects are skipped."""
+    Blank keys and objects are skipped. ``whole`` gives the lists of groups of every size."""
     ok = df.where((F.coalesce(F.trim(key), F.lit("")) != "") & (F.coalesce(F.trim(object_col), F.lit("")) != ""))
     triples = ok.groupBy(key, object_col, unit_col).agg(F.count("*").alias("n"))
     pairs = triples.groupBy(key, object_col).agg(F.sum("n").alias("n"))
     sizes = pairs.groupBy(key).agg(F.count("*").alias("object_count"), F.sum("n").alias("row_count")).where("object_count > 1")
-    return sizes.join(_lists(triples, key, sizes, "object_count", objects=object_col, units=unit_col), key, "left").select(key, "object_count", "row_count", "objects", "units")
+    return sizes.join(_lists(triples, key, sizes, "object_count", whole, objects=object_col, units=unit_col), key, "left").select(key, "object_count", "row_count", "objects", "units")
 
 
 def flag_members(df: DataFrame, keys: DataFrame, key: str, flag: str) -> DataFrame:
@@ -88,11 +89,12 @@ def duplicate_groups(df: DataFrame, key: str, id_col: str) -> DataFrame:
     return ok.join(size, key).select(key, id_col, "group_size")
 
 
-def grouped_ids(df: DataFrame, key: str, id_col: str, object_col: str) -> DataFrame:
-    """Groups of two or more rows with one key: (key, n, ids, objects), ids and distinct objects sorted and joined."""
+def grouped_ids(df: DataFrame, key: str, id_col: str, object_col: str, whole: bool = False) -> DataFrame:
+    """Groups of two or more rows with one key: (key, n, ids, objects), ids and distinct objects sorted and joined.
+    ``whole`` gives the lists of groups of every size."""
     ok = df.where(F.coalesce(F.trim(key), F.lit("")) != "")
     sizes = ok.groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
-    return sizes.join(_lists(ok, key, sizes, "n", ids=id_col, objects=object_col), key, "left").select(key, "n", "ids", "objects")
+    return sizes.join(_lists(ok, key, sizes, "n", whole, ids=id_col, objects=object_col), key, "left").select(key, "n", "ids", "objects")
 
 
 #: Codes that share a pair of pieces before it is split further.
@@ -148,12 +150,15 @@ def hamming_pairs(df: DataFrame, id_col: str, bits_col: str, max_distance: int =
     return both.select(F.least("i1", "i2").alias("a"), F.greatest("i1", "i2").alias("b"), F.col("distance").cast("int").alias("distance"))
 
 
-def near_components(pairs: DataFrame, members: DataFrame, id_col: str, object_col: str) -> DataFrame:
-    """(group_id, first_id, size, object_count, ids): the components of near pairs, the largest first, then by least id."""
+def near_components(pairs: DataFrame, members: DataFrame, id_col: str, object_col: str, **lists: str) -> DataFrame:
+    """(group_id, first_id, size, object_count, ids, *lists): the components of near pairs, the largest first, then by
+    least id. ``lists`` names further columns of ``members``, each given as its distinct values, null as the empty text,
+    sorted and joined. Components of every size have their lists."""
     comp = connected_components(pairs).withColumnRenamed("node", id_col)
-    named = comp.join(members.select(id_col, object_col).dropDuplicates([id_col]), id_col).withColumnRenamed("component", "first_id")
+    more = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(f"_{name}") for name, c in lists.items()]
+    named = comp.join(members.select(id_col, object_col, *more).dropDuplicates([id_col]), id_col).withColumnRenamed("component", "first_id")
     pairs = named.groupBy("first_id", object_col).agg(F.count("*").alias("n"))
     sizes = pairs.groupBy("first_id").agg(F.sum("n").alias("size"), F.count(object_col).alias("object_count"))
-    per = sizes.join(_lists(named, "first_id", sizes, "size", ids=id_col), "first_id", "left")
+    per = sizes.join(_lists(named, "first_id", sizes, "size", True, ids=id_col, **{name: f"_{name}" for name in lists}), "first_id", "left")
     ranked = global_rank(per.withColumn("_less", -F.col("size")), ["_less", "first_id"], "group_id")
-    return ranked.select("group_id", "first_id", "size", "object_count", "ids")
+    return ranked.select("group_id", "first_id", "size", "object_count", "ids", *lists)

@@ -213,7 +213,7 @@ _SHARED = f"""(SELECT media_id, count(DISTINCT object_id) AS object_count, count
 
 @R.query(f"SELECT * FROM {_SHARED}")
 def shared_media(spark, d):
-    return dedup.shared_keys(meta(spark, d), "media_id", "object_id", "unit_code")
+    return dedup.shared_keys(meta(spark, d), "media_id", "object_id", "unit_code", whole=True)
 
 
 @R.query(f"SELECT image_id, media_id IN (SELECT media_id FROM {_SHARED}) IS TRUE AS shared FROM {META}")
@@ -237,7 +237,7 @@ def duplicate_groups(spark, d):
 
 @R.query(f"""SELECT media_id, count(*) AS n, array_to_string(list_sort(list(image_id)), '; ') AS ids, array_to_string(list_sort(list(DISTINCT object_id)), '; ') AS objects FROM {META} WHERE coalesce(trim(media_id), '') <> '' GROUP BY 1 HAVING count(*) > 1""")
 def same_media_groups(spark, d):
-    return dedup.grouped_ids(meta(spark, d), "media_id", "image_id", "object_id")
+    return dedup.grouped_ids(meta(spark, d), "media_id", "image_id", "object_id", whole=True)
 
 
 _BITS = f"(SELECT image_id, lower(trim(sha256)) AS sha, CAST('0x' || lower(trim(phash)) AS UBIGINT) AS h FROM {META} WHERE regexp_full_match(lower(trim(phash)), '[0-9a-f]{{16}}'))"
@@ -262,6 +262,19 @@ def near_components(spark, d):
     return dedup.near_components(pairs.select("a", "b"), m, "image_id", "object_id")
 
 
+def _distinct(c: str) -> str:
+    return f"array_to_string(list_sort(list(DISTINCT coalesce({c}, ''))), '; ')"
+
+
+@R.query(f"""WITH RECURSIVE e AS (SELECT a, b FROM {_NEAR} UNION ALL SELECT b, a FROM {_NEAR}), r(node, root) AS (SELECT a, a FROM e UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.node),
+ c AS (SELECT node, min(root) AS first_id FROM r GROUP BY 1)
+ SELECT row_number() OVER (ORDER BY size DESC, first_id) AS group_id, * FROM (SELECT first_id, count(*) AS size, count(DISTINCT object_id) AS object_count, array_to_string(list_sort(list(node)), '; ') AS ids,
+ {_distinct("object_id")} AS objects, {_distinct("category")} AS categories, {_distinct("unit_code")} AS units FROM c JOIN {META} m ON m.image_id = c.node GROUP BY 1)""")
+def near_component_lists(spark, d):
+    pairs, _ = _near(spark, d)
+    return dedup.near_components(pairs.select("a", "b"), meta(spark, d), "image_id", "object_id", objects="object_id", categories="category", units="unit_code")
+
+
 # --- profiles --------------------------------------------------------------------------------------------------------
 
 

@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from siftwork.operators import decide, dedup, profile, release, sampling, search, splitting, validate
 from siftwork.operators.graph import connected_components
 
@@ -204,6 +205,24 @@ def test_large_groups_keep_counts_without_lists(spark, monkeypatch):
     assert dedup.duplicate_groups(df, "k", "id").count() == 5
 
 
+def test_whole_lists_of_large_groups(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "LISTED", 2)
+    rows = [(1, "k", "a", "u"), (2, "k", "b", None), (3, "k", "b", "u"), (4, "k", "c", "v"), (5, "l", "a", "u")]
+    df = spark.createDataFrame(rows, "id long, k string, o string, u string")
+    assert [tuple(r) for r in dedup.grouped_ids(df, "k", "id", "o", whole=True).collect()] == [("k", 4, "1; 2; 3; 4", "a; b; c")]
+    assert [tuple(r) for r in dedup.shared_keys(df, "k", "o", "u", whole=True).collect()] == [("k", 3, 4, "a; b; c", "u; v")]
+    pairs = spark.createDataFrame([(1, 2), (2, 3), (3, 4)], "a long, b long")
+    assert [tuple(r) for r in dedup.near_components(pairs, df, "id", "o", objects="o", units="u").collect()] == [(1, 1, 4, 3, "1; 2; 3; 4", "a; b; c", "; u; v")]
+
+
+@pytest.mark.parametrize("name", ["same_media_groups", "shared_media", "near_components"])
+def test_queries_list_groups_of_every_size(spark, tiny, monkeypatch, name):
+    monkeypatch.setattr(dedup, "LISTED", 0)
+    lists = {"same_media_groups": ["ids", "objects"], "shared_media": ["objects"], "near_components": ["ids"]}[name]
+    rows = entry.queries()[name](spark, tiny).collect()
+    assert rows and all(r[c] is not None for r in rows for c in lists)
+
+
 def test_many_queries_equal_brute_force(spark, monkeypatch):
     import numpy as np
 

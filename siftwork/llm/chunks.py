@@ -2,7 +2,8 @@
 
 Method: dynamic programming over boundary positions. The number of pieces is the least possible, or one more where that
 avoids cuts at mere word ends; among all ways to cut that many, the one with the least sum of cut penalties and size
-imbalance is taken.
+imbalance is taken. Where so few pieces can't all end at natural boundaries, each piece has its price in that sum instead,
+and a word is cut only where no boundary is in reach.
 """
 
 from __future__ import annotations
@@ -66,8 +67,8 @@ def plan_cuts(kind: np.ndarray, limit: int = MAX_TOKENS, overlap: int = OVERLAP)
     fresh = limit - overlap
     least = -(-(n - overlap) // fresh)
     best = _solve(kind, n, least, limit, overlap) or _solve(kind, n, least + 1, limit, overlap)
-    if best is None:  # the natural boundaries are too far apart: words may be cut, characters not
-        best = _solve(kind, n, least, limit, overlap, 9)
+    if best is None:  # the natural boundaries are too far apart for so few pieces
+        best = _priced(kind, n, least, limit, overlap) or _solve(kind, n, least, limit, overlap, 9)
     if best is not None and best[2] >= 3:  # one more piece, if all its cuts then fall at sentence ends or better
         more = _solve(kind, n, least + 1, limit, overlap, 3)
         if more is not None and more[0] + PENALTY[3] < best[0]:
@@ -147,6 +148,38 @@ def _solve(kind: np.ndarray, n: int, pieces: int, limit: int, overlap: int, belo
     return total, out[::-1], worst
 
 
+def _priced(kind: np.ndarray, n: int, least: int, limit: int, overlap: int) -> tuple[float, list[int], int] | None:
+    """As :func:`_solve`, with any number of pieces, each at the price of a cut at a word end. A cut falls inside a word
+    only if no boundary is within the limit, and never inside a character."""
+    fresh, ideal = limit - overlap, (n - overlap) / least + overlap
+    start_kind = kind[np.maximum(np.arange(1, n + 1) - overlap - 1, 0)] if overlap else kind
+    own = PENALTY[np.minimum(kind, 4)] + np.where(start_kind >= 4, RAGGED, 0.0) + np.where(start_kind == 9, 10 * PENALTY[4], 0.0) + PENALTY[3]
+    own[n - 1] = 0.0
+    last = np.arange(n) == n - 1
+    natural, whole = np.where((kind < 4) | last, own, np.inf), np.where((kind < 9) | last, own, np.inf)
+    ends = np.flatnonzero(np.isfinite(natural)) + 1
+    within = (ends[np.searchsorted(ends, np.arange(n), "right")] - np.arange(n) <= fresh).tolist()
+    balance = BALANCE * ((np.arange(1, fresh + 1) + overlap) / ideal - 1) ** 2
+    cost, back = np.full(n + 1, np.inf), np.full(n + 1, -1, dtype=np.int64)
+    cost[overlap] = 0.0
+    for at in range(overlap, n):
+        if (so_far := cost[at]) == np.inf:
+            continue
+        high = min(at + fresh, n)
+        total = (natural if within[at] else whole)[at:high] + balance[: high - at]
+        total += so_far
+        known = cost[at + 1 : high + 1]
+        better = total < known
+        np.copyto(known, total, where=better)
+        back[at + 1 : high + 1][better] = at
+    if not np.isfinite(cost[n]):
+        return None
+    out = [n]
+    while back[out[-1]] > overlap:
+        out.append(int(back[out[-1]]))
+    return float(cost[n]), out[::-1], max(int(kind[e - 1]) for e in out[1:])
+
+
 def split_oversized(documents: DataFrame, limit: int = MAX_TOKENS, overlap: int = OVERLAP, path: str | None = None, with_text: bool = True) -> DataFrame:
     """(doc_id, n_tokens, piece, first_token, last_token, first_char, last_char, cut, text): the pieces of each text over
     ``limit`` tokens, at most ``limit`` tokens each; consecutive pieces share exactly ``overlap`` tokens. ``cut`` is the

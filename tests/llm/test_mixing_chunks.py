@@ -165,3 +165,24 @@ def test_no_pieces_of_an_empty_table_and_bad_overlap(spark):
     assert chunks.split_oversized(d.where("false")).count() == 0
     with pytest.raises(ValueError):
         chunks.split_oversized(d, 10, 10)
+
+
+def test_words_are_cut_only_where_no_boundary_is_in_reach():
+    kind = np.full(6000, 4)
+    kind[599::600] = 3
+    assert chunks.plan_cuts(kind) == [*range(600, 6001, 600)]
+    kind = np.full(30_000, 4)
+    kind[99::100] = 3
+    kind[899::900] = 0
+    kind[12_000:13_500] = 4
+    kind[13_499] = 3
+    cuts = chunks.plan_cuts(kind)
+    first, inside = 64, []
+    for end in cuts[:-1]:
+        assert end - first <= 936
+        if kind[end - 1] == 4:
+            inside.append(end)
+            assert not (kind[first : first + 936] < 4).any()
+        first = end
+    assert cuts[-1] == 30_000 and 30_000 - first <= 936
+    assert len(inside) == 1 and sum(kind[e - 1] == 0 for e in cuts[:-1]) > 0.8 * len(cuts)

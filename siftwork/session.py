@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Rows and bytes up to which a side may be broadcast. Both are checked on the data, not assumed.
 BROADCAST_ROWS = 200_000
@@ -86,3 +87,45 @@ def fits_broadcast(df: DataFrame, bytes_per_row: int, rows: int = BROADCAST_ROWS
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+class Spool:
+    """Rows made on the driver, appended to a table of the shared folder block by block, so that the driver holds one
+    block at most."""
+
+    def __init__(self, spark: SparkSession, name: str, schema: str, rows: int = 100_000) -> None:
+        self.spark, self.schema, self.rows = spark, schema, rows
+        self.path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+        self.held: list[tuple] = []
+        self.flush()  # an empty table is a table too
+
+    def add(self, rows: list[tuple]) -> None:
+        self.held += rows
+        if len(self.held) >= self.rows:
+            self.flush()
+
+    def flush(self) -> None:
+        self.spark.createDataFrame(self.held, self.schema).coalesce(1).write.mode("append").option("compression", "zstd").parquet(self.path)
+        self.held = []
+
+    def table(self) -> DataFrame:
+        if self.held:
+            self.flush()
+        if not _made:
+            atexit.register(_purge)
+        _made.add((self.spark.sparkContext.applicationId, self.path))
+        return self.spark.read.schema(self.schema).parquet(self.path)
+
+
+#: A key that holds more than one row in HOT_PART is hot; there are at most HOT_PART such keys, whatever the data.
+HOT_PART, SALTS = 1000, 32
+
+
+def join_hot(big: DataFrame, small: DataFrame, key: str, spread: str, counts: DataFrame, how: str = "inner") -> DataFrame:
+    """``big`` joined with ``small`` on ``key``, the rows of a hot key spread over 32 salts by a hash of ``spread``.
+    ``small`` has a row per key and is repeated for the hot ones only. ``counts``: (key, n), the rows of each key."""
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    hot = F.broadcast(counts.where(F.col("n") * HOT_PART > max(total, SALTS * HOT_PART)).select(key, F.lit(SALTS).alias("_of")))  # at most HOT_PART rows
+    left = big.join(hot, key, "left").withColumn("_salt", F.pmod(F.xxhash64(spread), F.coalesce("_of", F.lit(1))).cast("int")).drop("_of")
+    right = small.join(hot, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_of", F.lit(1)) - 1))).drop("_of")
+    return left.join(right, [key, "_salt"], how).drop("_salt")

@@ -90,25 +90,27 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 class Spool:
-    """Rows made on the driver, appended to a table of the shared folder block by block, so that the driver holds one
-    block at most."""
+    """Rows made on the driver. Beyond one block they are appended to a table of the shared folder, so that the driver
+    holds one block at most."""
 
     def __init__(self, spark: SparkSession, name: str, schema: str, rows: int = 100_000) -> None:
         self.spark, self.schema, self.rows = spark, schema, rows
         self.path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
         self.held: list[tuple] = []
-        self.flush()  # an empty table is a table too
+        self.written = False
 
     def add(self, rows: list[tuple]) -> None:
         self.held += rows
-        if len(self.held) >= self.rows:
+        if len(self.held) > self.rows:
             self.flush()
 
     def flush(self) -> None:
         self.spark.createDataFrame(self.held, self.schema).coalesce(1).write.mode("append").option("compression", "zstd").parquet(self.path)
-        self.held = []
+        self.held, self.written = [], True
 
     def table(self) -> DataFrame:
+        if not self.written:
+            return self.spark.createDataFrame(self.held, self.schema)
         if self.held:
             self.flush()
         if not _made:

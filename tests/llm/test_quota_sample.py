@@ -1,6 +1,8 @@
+import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from siftwork.llm import quota_sample as Q
@@ -60,11 +62,61 @@ def test_empty_tables_and_bad_field(spark):
         Q.draw(df, spark.createDataFrame([(1, "p", "title", "a", 1.0, None, 10)], TARGETS))
 
 
-def test_many_cells_fall_back_to_the_plans_field(spark, monkeypatch):
+def test_blocks_of_cells_keep_needs_and_quotas(spark, monkeypatch):
+    df, rows = data(spark)
+    plan = spark.createDataFrame([(1, "p", "category_code", "a", 0.5, None, 40), (2, "p", "category_code", "b", 0.45, 3, 40), (3, "p", "category_code", "zzz", 0.05, 7, 40), (4, "q", "institution", "i", 1.0, None, 5000)], TARGETS)
+    whole = sorted(Q.draw(df, plan)[0].collect())
+    for size in (1, 2, 3):
+        monkeypatch.setattr(Q, "BLOCK_CELLS", size)
+        report, sample = Q.draw(df, plan)
+        assert sorted(report.collect()) == whole
+        drawn = sample.collect()
+        assert len(set(drawn)) == len(drawn) and Counter(r.category for r in drawn if r.plan_name == "p") == {"a": 20, "b": 18}
+    assert [r.shortfall for r in whole][:3] == [0, 0, 7] and whole[3].shortfall == 5000 - whole[3].available
+
+
+def test_drawn_cells_keep_both_margins_and_their_odds():
+    r = random.Random(5)
+    rows = []
+    for _ in range(7):
+        cells = [(m, r.randint(1, 30)) for m in "abcdefgh" if r.random() < 0.7] or [("a", 3)]
+        have = sum(n for _, n in cells)
+        rows.append((r.randint(0, have), have, cells))
+    mean = [[0.0] * len(c) for *_, c in rows]
+    runs = 600
+    for seed in range(runs):
+        got = Q.draw_cells(rows, np.random.default_rng(seed))
+        columns, want = Counter(), Counter()
+        for (take, have, cells), q, m in zip(rows, got, mean):
+            assert sum(q) == take
+            for j, ((name, n), x) in enumerate(zip(cells, q)):
+                share = take * n / have
+                assert math.floor(share) <= x <= math.ceil(share)
+                columns[name] += x
+                want[name] += share
+                m[j] += x / runs
+        assert all(math.floor(want[c] - 1e-9) <= columns[c] <= math.ceil(want[c] + 1e-9) for c in columns)
+    for (take, have, cells), m in zip(rows, mean):
+        assert all(abs(x - take * n / have) < 0.09 for (_, n), x in zip(cells, m))
+
+
+def test_large_network_is_solved():
+    r = random.Random(2)
+    pieces = []
+    for _ in range(500):
+        cells = [(f"m{j}", r.randint(1, 1000)) for j in range(100)]
+        have = sum(n for _, n in cells)
+        pieces.append(Q.Piece(have + 5 if r.random() < 0.1 else have // 3, 10, have // 3, have, cells))
+    short, quota = Q.solve_block(pieces, np.random.default_rng(1))
+    assert [s > 0 for s in short] == [p.demand > p.have for p in pieces]
+    assert all(sum(q) == p.take and all(x <= n for (_, n), x in zip(p.cells, q)) for p, q in zip(pieces, quota))
+
+
+def test_one_category_in_two_targets(spark):
     df, _ = data(spark)
-    plan = spark.createDataFrame([(1, "p", "category_code", "a", 0.5, None, 40), (2, "p", "category_code", "b", 0.5, None, 40)], TARGETS)
-    monkeypatch.setattr(Q, "MAX_CELLS", 2)
-    assert Counter(r.category for r in Q.draw(df, plan)[1].collect()) == {"a": 20, "b": 20}
+    plan = [(1, "p", "category_code", "a", 0.5, None, 20), (2, "p", "category_code", "A ", 0.25, None, 20)]
+    drawn = Q.draw(df, spark.createDataFrame(plan, TARGETS))[1].collect()
+    assert len({x.image_id for x in drawn}) == len(drawn) >= 10
 
 
 def test_flow_is_cheapest():

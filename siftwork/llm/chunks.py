@@ -2,7 +2,8 @@
 
 Method: dynamic programming over boundary positions. The number of pieces is the least possible, or one more where that
 avoids cuts at mere word ends; among all ways to cut that many, the one with the least sum of cut penalties and size
-imbalance is taken. Where so few pieces can't all end at natural boundaries, each piece has its price in that sum instead,
+imbalance is taken. A character is at most four tokens, so a cut between characters is always in reach if limit minus
+overlap is four tokens or more; below that, a text may have to be cut by count. Where so few pieces can't all end at natural boundaries, each piece has its price in that sum instead,
 and a word is cut only where no boundary is in reach.
 """
 
@@ -73,7 +74,7 @@ def plan_cuts(kind: np.ndarray, limit: int = MAX_TOKENS, overlap: int = OVERLAP)
         more = _solve(kind, n, least + 1, limit, overlap, 3)
         if more is not None and more[0] + PENALTY[3] < best[0]:
             best = more
-    if best is None:  # no such cut keeps characters whole: cut by count
+    if best is None:  # limit - overlap is below four tokens and no cut keeps characters whole: cut by count
         return [*range(limit, n, fresh), n] if n > limit else [n]
     return best[1]
 

@@ -16,13 +16,14 @@ from pyspark.sql import functions as F
 
 from siftwork.functions.keys import norm_key
 from siftwork.llm import tokens
-from siftwork.session import cut
+from siftwork.session import Spool, cut
 
 BLOCK = 1024
 #: Slots of an output shard, and output shards at most; with more slots the shards grow.
 SHARD_SLOTS, SHARDS = 256, 10_000
-#: Hash buckets over which a source's running token count is carried.
-BUCKETS = 1024
+#: Hash buckets over which a source's running token count is carried: at least so many, and so many that a bucket of the
+#: largest source has about BUCKET_ROWS documents. The order of the documents doesn't depend on them.
+BUCKETS, BUCKET_ROWS = 1024, 20_000
 
 
 def token_counts(documents: DataFrame, path: str | None = None) -> DataFrame:
@@ -41,22 +42,25 @@ def token_counts(documents: DataFrame, path: str | None = None) -> DataFrame:
 def mix_plan(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     """(mix_id, mix_name, source, target_share, max_repeats, budget_tokens, available, wanted, capacity, reached, goal):
     ``reached`` is false where all tokens of the source times ``max_repeats`` are less than ``target_share *
-    budget_tokens``; ``goal`` is the whole number of tokens to draw. A source that no document has has 0 tokens; a null
-    ``max_repeats`` counts as 1."""
+    budget_tokens``; ``goal`` is the whole number of tokens to draw, the next above ``wanted`` where the source has them, so
+    what is drawn is less than ``wanted`` exactly where the source can't reach it. A source that no document has has 0
+    tokens; a null ``max_repeats`` counts as 1."""
     per = sizes.where("src IS NOT NULL").groupBy("src").agg(F.sum("n_tokens").alias("available"))
     want = targets.where("mix_id IS NOT NULL").select("mix_id", "mix_name", norm_key("source").alias("src"), "target_share", F.coalesce("max_repeats", F.lit(1)).alias("max_repeats"), "budget_tokens").distinct()
     plan = want.join(per, "src", "left").withColumn("available", F.coalesce("available", F.lit(0)).cast("bigint"))
     wanted = F.col("target_share") * F.col("budget_tokens")
     capacity = F.col("available") * F.col("max_repeats")
-    return plan.select("mix_id", "mix_name", F.col("src").alias("source"), "target_share", "max_repeats", "budget_tokens", "available", wanted.alias("wanted"), capacity.alias("capacity"), (capacity >= wanted).alias("reached"), F.least(capacity, F.round(wanted).cast("bigint")).alias("goal"))
+    return plan.select("mix_id", "mix_name", F.col("src").alias("source"), "target_share", "max_repeats", "budget_tokens", "available", wanted.alias("wanted"), capacity.alias("capacity"), (capacity >= wanted).alias("reached"), F.least(capacity, F.ceil(wanted)).cast("bigint").alias("goal"))
 
 
 def pack(sizes: DataFrame, seed: int = 5, block: int = BLOCK) -> DataFrame:
     """(src, block, at, doc_id, first, length): the stretches of documents that fill each block. A source's documents follow
     each other in the order of a hash; ``at`` is the place in the block, ``first`` the token in the document. Running
-    counts are carried over 1,024 hash buckets, so no source is ordered in one task."""
+    counts are carried over hash buckets, so no source is ordered in one task."""
     own = sizes.where("src IS NOT NULL AND n_tokens > 0 AND doc_id IS NOT NULL").withColumn("h", F.xxhash64(F.lit(seed), "doc_id"))
-    own = own.withColumn("bucket", F.shiftrightunsigned("h", 54))
+    most = own.groupBy("src").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    bits = max(BUCKETS, -(-most // BUCKET_ROWS)).bit_length() - 1 + (most > BUCKETS * BUCKET_ROWS)
+    own = own.withColumn("bucket", F.shiftrightunsigned("h", 64 - bits))
     sums = own.groupBy("src", "bucket").agg(F.sum("n_tokens").alias("sum"))
     before = F.coalesce(F.sum("sum").over(Window.partitionBy("src").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     base = sums.select("src", "bucket", before.alias("base"))
@@ -86,43 +90,48 @@ def permute(index: np.ndarray, size: np.ndarray, key: np.ndarray) -> np.ndarray:
     return x.astype(np.int64)
 
 
-def _shards(plan: list, block: int, seed: int) -> list[tuple]:
+SHARDED = "mix_id bigint, mix_name string, source string, shard int, start bigint, n bigint, available bigint, goal bigint"
+
+
+def _shards(plan: DataFrame, block: int, seed: int) -> DataFrame:
     """(mix_id, mix_name, source, shard, first slot, slots, available, goal): how many slots each output shard takes of
-    each source. Drawing without replacement from the slots that are left is the multinomial draw with the totals held."""
-    mixes: dict[str, list] = {}
-    for r in sorted(plan, key=lambda r: r["mix_id"]):
-        if r["goal"] > 0:
-            mixes.setdefault(r["mix_name"], []).append(r)
-    out = []
-    for name, rows in mixes.items():
-        slots = np.array([(r["goal"] // r["available"]) * -(-r["available"] // block) + -(-(r["goal"] % r["available"]) // block) for r in rows], dtype=np.int64)
-        rng = np.random.default_rng([seed, rows[0]["mix_id"]])
-        left, given = slots.copy(), np.zeros_like(slots)
-        per = max(SHARD_SLOTS, -(-int(slots.sum()) // SHARDS))
-        shard = 0
-        while left.sum():
-            took = rng.multivariate_hypergeometric(left, min(per, int(left.sum())), method="marginals")
-            out += [(r["mix_id"], name, r["source"], shard, int(g), int(t), r["available"], r["goal"]) for r, g, t in zip(rows, given, took) if t]
-            given, left, shard = given + took, left - took, shard + 1
-    return out
+    each source. Drawing without replacement from the slots that are left is the multinomial draw with the totals held.
+    The driver holds the sources of one mix at a time."""
+    out = Spool(plan.sparkSession, "shards", SHARDED)
+    rows: list = []
+    wanted = plan.where("goal > 0").orderBy("mix_name", "mix_id").toLocalIterator()
+    for r in wanted:
+        if rows and r["mix_name"] != rows[0]["mix_name"]:
+            _deal(rows, out, block, seed)
+            rows = []
+        rows.append(r)
+    if rows:
+        _deal(rows, out, block, seed)
+    return out.table()
+
+
+def _deal(rows: list, out: Spool, block: int, seed: int) -> None:
+    slots = np.array([(r["goal"] // r["available"]) * -(-r["available"] // block) + -(-(r["goal"] % r["available"]) // block) for r in rows], dtype=np.int64)
+    rng = np.random.default_rng([seed, rows[0]["mix_id"]])
+    left, given = slots.copy(), np.zeros_like(slots)
+    per = max(SHARD_SLOTS, -(-int(slots.sum()) // SHARDS))
+    shard = 0
+    while left.sum():
+        took = rng.multivariate_hypergeometric(left, min(per, int(left.sum())), method="marginals")
+        out.add([(r["mix_id"], r["mix_name"], r["source"], shard, int(g), int(t), r["available"], r["goal"]) for r, g, t in zip(rows, given, took) if t])
+        given, left, shard = given + took, left - took, shard + 1
 
 
 def draw_mix(documents: DataFrame, targets: DataFrame, seed: int = 5, block: int = BLOCK, path: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(plan, mix). plan is that of :func:`mix_plan`; mix: (mix_id, mix_name, source, shard, slot, pass, block, at, doc_id,
     first_token, last_token), the stretches of documents that make each mix, in slots of ``block`` tokens.
 
-    Each source gets ``target_share * budget_tokens`` tokens to the nearest one, or all it may give; passes after the
-    first repeat it, never more than ``max_repeats`` times. Sources are compared without letter case and blanks;
-    documents without a source, a text or an id take no part; a repeated row counts as another document.
+    Each source gets ``target_share * budget_tokens`` tokens, rounded up, or all it may give; passes after the first
+    repeat it, never more than ``max_repeats`` times. Sources are compared without letter case and blanks; documents without a source, a text or an id take no part; a repeated row counts as another document.
     """
-    spark = documents.sparkSession
     sizes = cut(token_counts(documents, path), "token-counts")
-    plan = mix_plan(sizes, targets)
-    rows = plan.limit(100_001).collect()
-    if len(rows) > 100_000:
-        raise ValueError("more than 100,000 targets")
-    shape = "mix_id bigint, mix_name string, source string, shard int, start bigint, n bigint, available bigint, goal bigint"
-    counts = spark.createDataFrame(_shards(rows, block, seed), shape)
+    plan = cut(mix_plan(sizes, targets), "plan")
+    counts = _shards(plan, block, seed)
     per_pass = F.expr(f"(available + {block - 1}) div {block}")
     slots = counts.repartition("mix_id", "shard").select("mix_id", "mix_name", "source", "shard", "available", "goal", F.explode(F.sequence("start", F.col("start") + F.col("n") - 1)).alias("k"))
     slots = slots.withColumn("pass", F.expr(f"k div ((available + {block - 1}) div {block})")).withColumn("i", F.col("k") % per_pass)
@@ -144,14 +153,16 @@ def draw_mix(documents: DataFrame, targets: DataFrame, seed: int = 5, block: int
     return plan, mix
 
 
-def mix_report(documents: DataFrame, targets: DataFrame) -> DataFrame:
-    """(mix_id, mix_name, source, target_share, tokens, actual_share, most_repeats, reached)."""
-    plan, mix = draw_mix(documents, targets)
+def mix_report(documents: DataFrame, targets: DataFrame, path: str | None = None) -> DataFrame:
+    """(mix_id, mix_name, source, target_share, wanted, tokens, actual_share, most_repeats, reached): what was drawn for
+    each target; ``reached`` is whether that is all of ``wanted``."""
+    plan, mix = draw_mix(documents, targets, path=path)
     got = mix.groupBy("mix_id").agg(F.sum(F.col("last_token") - F.col("first_token")).alias("tokens"), (F.max("pass") + 1).alias("most_repeats"))
     whole = F.sum("tokens").over(Window.partitionBy("mix_name"))  # over the targets of one mix
-    return plan.join(got, "mix_id", "left").withColumn("tokens", F.coalesce("tokens", F.lit(0))).select("mix_id", "mix_name", "source", "target_share", "tokens", F.coalesce(F.try_divide("tokens", whole), F.lit(0.0)).alias("actual_share"), F.coalesce("most_repeats", F.lit(0)).alias("most_repeats"), "reached")
+    told = plan.join(got, "mix_id", "left").withColumn("tokens", F.coalesce("tokens", F.lit(0)))
+    return told.select("mix_id", "mix_name", "source", "target_share", "wanted", "tokens", F.coalesce(F.try_divide("tokens", whole), F.lit(0.0)).alias("actual_share"), F.coalesce("most_repeats", F.lit(0)).alias("most_repeats"), (F.col("tokens") >= F.col("wanted")).alias("reached"))
 
 
 def unreachable(documents: DataFrame, targets: DataFrame, path: str | None = None) -> DataFrame:
-    """(mix_id): the targets whose source cannot reach its share."""
-    return mix_plan(token_counts(documents, path), targets).where(~F.col("reached")).select("mix_id").distinct()
+    """(mix_id): the targets for which the mix, once drawn, has less than was wanted."""
+    return mix_report(documents, targets, path).where(~F.col("reached")).select("mix_id").distinct()

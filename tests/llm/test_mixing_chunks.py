@@ -1,3 +1,4 @@
+import math
 import random
 from collections import Counter, defaultdict
 
@@ -41,7 +42,7 @@ def test_mix_shares_repeats_and_shortfalls(spark):
             uses[r.mix_id, r.doc_id, t] += 1
     text = {i: (t, (s or "").strip().lower()) for i, t, s, *_ in rows}
     for i, _, s, share, rep, budget, _ in want:
-        assert used[i] == min(round(share * budget), have[s.strip().lower()] * (rep or 1))
+        assert used[i] == min(math.ceil(share * budget), have[s.strip().lower()] * (rep or 1))
     cap = {i: rep or 1 for i, _, _, _, rep, *_ in want}
     assert all(n <= cap[i] for (i, _, _), n in uses.items())
     assert all(r.source == text[r.doc_id][1] and r.last_token <= tokens.count(text[r.doc_id][0], PATH) for r in got)
@@ -52,6 +53,15 @@ def test_mix_shares_repeats_and_shortfalls(spark):
     assert sorted(again.collect()) == sorted(got)
 
 
+def test_bucket_count_changes_nothing(spark, monkeypatch):
+    rows = docs()
+    d, t = spark.createDataFrame(rows, DOCS), spark.createDataFrame(targets(sizes(rows)), TARGETS)
+    before = sorted(mixing.draw_mix(d, t, block=128)[1].collect())
+    monkeypatch.setattr(mixing, "BUCKETS", 2)
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 3)
+    assert sorted(mixing.draw_mix(d, t, block=128)[1].collect()) == before
+
+
 def test_slots_are_whole_blocks(spark):
     rows = docs()
     mix = mixing.draw_mix(spark.createDataFrame(rows, DOCS), spark.createDataFrame(targets(sizes(rows)), TARGETS), block=128)[1]

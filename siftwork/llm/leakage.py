@@ -1,7 +1,8 @@
 """Evaluation texts leaking into training text.
 
 Method: rare n-gram seeds join the passages of the corpus to the test items, then Smith-Waterman alignment scores the
-copies, edited ones too. An exact check of the longest common run of words follows.
+copies, edited ones too, and its score decides. Where a run of consecutive words is asked for, an exact check of the
+longest common run follows.
 """
 
 from __future__ import annotations
@@ -10,7 +11,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siftwork.llm.surface import words
@@ -18,16 +20,20 @@ from siftwork.session import BROADCAST_BYTES, cut
 
 #: Words of a seed; consecutive words that make a leak; windows of so many words have a rare seed each.
 NGRAM, RUN = 6, 12
+#: An n-gram is a seed if it is at most so many times as frequent as the rarest one of a window it stands in.
+EASE = 8
 #: Items and bytes of one block, about: the items' n-grams are broadcast block by block, by their counted sizes.
-BLOCK, BLOCK_BYTES = 20_000, BROADCAST_BYTES
+BLOCK, BLOCK_BYTES = 100_000, BROADCAST_BYTES
 MATCH, MISMATCH, GAP = 2, -1, -1
+#: Words of one passage at least, before it is cut in overlapping ones; words aligned together.
+PASSAGE, COLUMNS = 50_000, 40_000
 
-SEEDED = "doc_id bigint, item_id bigint, variant int, first int, n_words int, passage string, gram_pos array<int>, gram_hash array<bigint>"
+SEEDED = ("doc_id", "item_id", "first", "passage", "grams")
 
 
-def _grams(ws: list[str], vocab: dict[str, int], n: int) -> np.ndarray:
-    """Hash of the n-gram at each position; 0 where one of its words is in no item."""
-    ids = np.fromiter((vocab.get(w, 0) for w in ws), dtype=np.int64, count=len(ws))
+def _codes(ws: list[str], vocab: dict[str, int], n: int) -> np.ndarray:
+    """Hash of the n-gram at each position, from the words' own hashes; 0 where one of its words is in no item."""
+    ids = np.fromiter((vocab.get(w, 0) for w in ws), dtype=np.uint64, count=len(ws))
     if len(ids) < n:
         return np.zeros(0, dtype=np.int64)
     windows = np.lib.stride_tricks.sliding_window_view(ids, n)
@@ -36,128 +42,162 @@ def _grams(ws: list[str], vocab: dict[str, int], n: int) -> np.ndarray:
     if known.any():
         h = np.zeros(int(known.sum()), dtype=np.uint64)
         for k in range(n):
-            h = (h ^ windows[known, k].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+            h = (h ^ windows[known, k]) * np.uint64(0x9E3779B97F4A7C15)
             h ^= h >> np.uint64(29)
         out[known] = (h | np.uint64(1)).view(np.int64)
     return out
 
 
-def _index(items: list[tuple[int, str]], n: int) -> tuple[dict[str, int], np.ndarray, dict[int, list[tuple[int, int, int]]]]:
-    """(word numbers, sorted n-gram hashes, hash -> [(item, variant, position)])."""
-    vocab: dict[str, int] = {}
-    own = [(i, v, ws) for i, text in items for v, ws in enumerate(words(text))]
-    for _, _, ws in own:
-        for w in ws:
-            vocab.setdefault(w, len(vocab) + 1)
-    where: dict[int, list[tuple[int, int, int]]] = {}
-    for i, v, ws in own:
-        for p, h in enumerate(_grams(ws, vocab, n).tolist()):
-            where.setdefault(h, []).append((i, v, p))
-    return vocab, np.array(sorted(where), dtype=np.int64), where
+def _vocabulary(variants: list[list[str]]) -> dict[str, int]:
+    """Word -> hash of the word itself, so an n-gram has one hash wherever and in whatever order it is met."""
+    return {w: xxhash.xxh64_intdigest(w) | 1 for ws in variants for w in ws}
+
+
+class Index:
+    """N-grams of a block of items: sorted hashes, and for each the items it stands in, in two flat arrays."""
+
+    def __init__(self, items: list[tuple[int, str]], n: int) -> None:
+        own = [(k, ws) for k, (_, text) in enumerate(items) for ws in words(text)]
+        self.ids = [i for i, _ in items]
+        self.margin = [n] * len(items)
+        for k, ws in own:
+            self.margin[k] = max(self.margin[k], len(ws) + n)
+        self.vocab = _vocabulary([ws for _, ws in own])
+        parts = [(_codes(ws, self.vocab, n), k) for k, ws in own]
+        gram = np.concatenate([np.zeros(0, np.int64), *[g for g, _ in parts]])
+        item = np.concatenate([np.zeros(0, np.int64), *[np.full(len(g), k) for g, k in parts]])
+        order = np.lexsort((item, gram))
+        gram, item = gram[order], item[order]
+        fresh = np.ones(len(gram), dtype=bool)
+        fresh[1:] = (gram[1:] != gram[:-1]) | (item[1:] != item[:-1])
+        gram, self.item = gram[fresh], item[fresh]
+        self.keys, self.start = np.unique(gram, return_index=True)
+        self.start = np.append(self.start, len(gram))
+
+    def hits(self, grams: np.ndarray) -> dict[int, list[tuple[int, int]]]:
+        """item number -> [(position, hash)] of the n-grams that stand in items."""
+        out: dict[int, list[tuple[int, int]]] = {}
+        at = np.flatnonzero(grams)
+        if not len(at) or not len(self.keys):
+            return out
+        g = grams[at]
+        place = np.minimum(np.searchsorted(self.keys, g), len(self.keys) - 1)
+        found = self.keys[place] == g
+        for p, h, k in zip(at[found].tolist(), g[found].tolist(), place[found].tolist()):
+            for item in self.item[self.start[k] : self.start[k + 1]].tolist():
+                out.setdefault(item, []).append((p, h))
+        return out
 
 
 def seed_hits(documents: DataFrame, items: DataFrame, n: int = NGRAM) -> DataFrame:
-    """For each document and item that share an n-gram of words: the passages around the shared n-grams and their
-    hashes. Every document is read whole, once for each block of items."""
+    """(doc_id, item_id, first, passage, grams): for each document and item that share an n-gram of words, the passages
+    around the shared n-grams and their hashes. Every document is read whole, once for each block of items."""
     rows = [(r["item_id"], r["text"]) for r in items.select("item_id", "text").where("item_id IS NOT NULL AND text IS NOT NULL").toLocalIterator()]
     held = documents.sparkSession.sparkContext.broadcast(rows)
-    margin = max([0, *(len(w) for _, t in rows for w in words(t))]) + n
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocab, keys, where = _index(held.value, n)
+        index = Index(held.value, n)
         for b in batches:
             out: list[tuple] = []
             for doc, text in zip(b.doc_id, b.text):
-                for variant, ws in enumerate(words(text)):
-                    grams = _grams(ws, vocab, n)
-                    if not len(grams) or not len(keys):
-                        continue
-                    at = np.flatnonzero(grams)
-                    g = grams[at]
-                    found = keys[np.minimum(np.searchsorted(keys, g), len(keys) - 1)] == g
-                    hits: dict[int, list[tuple[int, int]]] = {}
-                    for p, h in zip(at[found].tolist(), g[found].tolist()):
-                        for item in {x[0] for x in where[h]}:
-                            hits.setdefault(item, []).append((p, h))
-                    for item, own in hits.items():
-                        out += _passages(doc, item, variant, ws, own, margin, n)
-            yield pd.DataFrame(out, columns=[c.split(" ")[0] for c in SEEDED.split(", ")])
-
-    return documents.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL").mapInPandas(scan, SEEDED)
-
-
-def _passages(doc: int, item: int, variant: int, ws: list[str], hits: list[tuple[int, int]], margin: int, n: int) -> list[tuple]:
-    """Hits less than ``margin`` words apart make one passage, which reaches ``margin`` words beyond them."""
-    out, start = [], 0
+                for ws in words(text):
+                    for item, own in index.hits(_codes(ws, index.vocab, n)).items():
+                        out += [(doc, index.ids[item], *p) for p in _passages(ws, own, index.margin[item], n)]
+            yield pd.DataFrame(out, columns=list(SEEDED))
+
+    kinds = f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, item_id {items.schema['item_id'].dataType.simpleString()}"
+    return documents.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL").mapInPandas(scan, f"{kinds}, first int, passage string, grams array<bigint>")
+
+
+def _passages(ws: list[str], hits: list[tuple[int, int]], margin: int, n: int) -> list[tuple[int, str, list[int]]]:
+    """Hits less than ``margin`` (the item's words and n) apart make one passage, which reaches ``margin`` words beyond
+    them. A long one is cut in parts that overlap by three margins: an alignment with a positive score is never longer."""
+    out: list[tuple[int, str, list[int]]] = []
+    most, start = max(PASSAGE, 8 * margin), 0
     for k in range(1, len(hits) + 1):
         if k == len(hits) or hits[k][0] - hits[k - 1][0] > margin:
             part = hits[start:k]
             a, b = max(0, part[0][0] - margin), min(len(ws), part[-1][0] + n + margin)
-            out.append((doc, item, variant, a, len(ws), " ".join(ws[a:b]), [p for p, _ in part], [h for _, h in part]))
+            while a < b:
+                z = min(b, a + most)
+                own = sorted({h for p, h in part if a <= p and p + n <= z})
+                if own:
+                    out.append((a, " ".join(ws[a:z]), own))
+                if z == b:
+                    break
+                a = z - 3 * margin
             start = k
     return out
 
 
 def rare_seeds(hits: DataFrame, items: DataFrame, n: int = NGRAM, run: int = RUN) -> DataFrame:
-    """(item_id, seeds): for each window of ``run`` words of each item, its n-gram that the fewest documents hold."""
-    count = hits.select("doc_id", F.explode(F.array_distinct("gram_hash")).alias("gram")).distinct().groupBy("gram").agg(F.count("*").alias("df"))
-    own = items.select("item_id", "text").where("item_id IS NOT NULL AND text IS NOT NULL")
-    rows = [(r["item_id"], r["text"]) for r in own.toLocalIterator()]
-    vocab, _, _ = _index(rows, n)
-    held = items.sparkSession.sparkContext.broadcast(vocab)
+    """(item_id, seeds): for each window of ``run`` words of each item its n-gram that the fewest documents hold, and those
+    of the window at most EASE times as frequent. A document that holds the whole window holds its seeds."""
+    count = hits.select("doc_id", F.explode("grams").alias("gram")).distinct().groupBy("gram").agg(F.count("*").alias("df"))
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame([(i, v * 1_000_000 + p, h) for i, t in zip(b.item_id, b.text) for v, ws in enumerate(words(t)) for p, h in enumerate(_grams(ws, held.value, n).tolist())], columns=["item_id", "pos", "gram"])
-
-    grams = own.mapInPandas(spread, "item_id bigint, pos int, gram bigint").join(count, "gram").select("item_id", "pos", "gram", "df")
-
-    def choose(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pos")
-        pos, gram, df = pdf.pos.tolist(), pdf.gram.tolist(), pdf.df.tolist()
-        seeds = set()
-        for k, p in enumerate(pos):  # every window that begins at a seen n-gram, whole in the seen ones or not
-            window = [j for j in range(k, len(pos)) if pos[j] <= p + run - n]
-            seeds.add(gram[min(window, key=lambda j: (df[j], pos[j]))])
-        return pd.DataFrame({"item_id": [pdf.item_id.iloc[0]], "seeds": [sorted(seeds)]})
-
-    return grams.groupBy("item_id").applyInPandas(choose, "item_id bigint, seeds array<bigint>")
-
-
-def align(a: list[str], b: list[str]) -> tuple[int, int, int, int, int]:
-    """(score, matched words, first, last + 1, longest run) of the best local alignment of item ``a`` with passage
-    ``b``: Smith-Waterman over words, row by row. The longest run of equal consecutive words is that of the whole
-    passage. first and last are places in ``b``."""
-    code = {w: i for i, w in enumerate(dict.fromkeys([*a, *b]))}
-    x, y = np.array([code[w] for w in a]), np.array([code[w] for w in b])
-    n = len(y)
-    if not len(x) or not n:
-        return 0, 0, 0, 0, 0
-    step = np.arange(n + 1) * -GAP
-    score = np.zeros((len(x) + 1, n + 1), dtype=np.int64)
-    run, best = np.zeros(n + 1, dtype=np.int64), 0
-    for i, w in enumerate(x, 1):
+            rows = [(i, v, p, g) for i, t in zip(b.item_id, b.text) for v, ws in enumerate(words(t)) for p, g in enumerate(_codes(ws, _vocabulary([ws]), n).tolist())]
+            yield pd.DataFrame(rows, columns=["item_id", "variant", "pos", "gram"])
+
+    own = items.select("item_id", "text").where("item_id IS NOT NULL AND text IS NOT NULL")
+    grams = own.mapInPandas(spread, f"item_id {items.schema['item_id'].dataType.simpleString()}, variant int, pos int, gram bigint").join(count, "gram")
+    along = Window.partitionBy("item_id", "variant").orderBy("pos")  # the words of one item
+    least = grams.withColumn("least", F.min("df").over(along.rangeBetween(0, run - n)))
+    seeds = least.withColumn("most", F.max("least").over(along.rangeBetween(n - run, 0))).where(F.col("df") <= EASE * F.col("most"))
+    return seeds.groupBy("item_id").agg(F.collect_set("gram").alias("seeds"))
+
+
+def align(a: list[str], passages: list[list[str]]) -> list[tuple[int, int, int, int, int]]:
+    """For each passage (score, matched words, first, last + 1, longest run) of its best local alignment with item ``a``:
+    Smith-Waterman over words, row by row over all passages at once, with what an alignment has matched and where it
+    began carried along, so memory is linear. The longest run of equal consecutive words is that of the whole passage.
+    first and last are places in the passage."""
+    if not a:
+        return [(0, 0, 0, 0, 0)] * len(passages)
+    code = {w: i for i, w in enumerate(dict.fromkeys(a))}
+    heads = np.cumsum([0, *(len(p) + 1 for p in passages)])
+    n = int(heads[-1])
+    y = np.full(n, -1, dtype=np.int32)  # each passage after a column that matches nothing and lets nothing through
+    for h, p in zip(heads, passages):
+        y[h + 1 : h + 1 + len(p)] = [code.get(w, -1) for w in p]
+    wall = heads[:-1]
+    step = np.arange(n, dtype=np.int64) * -GAP
+    at = np.arange(n, dtype=np.int64)
+    step += (np.cumsum(np.isin(at, wall)) - 1) * (MATCH * len(a) + n + 1)
+    score, matched, begin, run = (np.zeros(n, dtype=np.int64) for _ in range(4))
+    top, top_matched, top_begin, top_run = (np.zeros(n, dtype=np.int64) for _ in range(4))
+    before, row = np.zeros(n, dtype=np.int64), [code[w] for w in a]
+    for w in row:
         same = y == w
-        fresh = np.zeros(n + 1, dtype=np.int64)
-        fresh[1:] = np.where(same, run[:-1] + 1, 0)
-        run = fresh
-        best = max(best, int(run.max()))
-        row = np.maximum(score[i - 1] + GAP, 0)
-        row[1:] = np.maximum(row[1:], score[i - 1, :-1] + np.where(same, MATCH, MISMATCH))
-        row[0] = 0
-        score[i] = np.maximum.accumulate(row + step) - step
-    i, j = np.unravel_index(int(score.argmax()), score.shape)
-    top, last, matched = int(score[i, j]), int(j), 0
-    while i and j and score[i, j] > 0:
-        same = x[i - 1] == y[j - 1]
-        if score[i, j] == score[i - 1, j - 1] + (MATCH if same else MISMATCH):
-            matched += bool(same)
-            i, j = i - 1, j - 1
-        elif score[i, j] == score[i - 1, j] + GAP:
-            i -= 1
-        else:
-            j -= 1
-    return top, matched, int(j), last, best
+        before[1:] = run[:-1]
+        run = np.where(same, before + 1, 0)
+        np.maximum(top_run, run, out=top_run)
+        left = np.zeros(n, dtype=np.int64)
+        left[1:] = score[:-1]
+        diagonal, up = left + np.where(same, MATCH, MISMATCH), score + GAP
+        by_diagonal = (diagonal >= up) & (diagonal > 0)
+        now = np.maximum(np.maximum(diagonal, up), 0)
+        now[wall] = 0
+        kept = np.zeros(n, dtype=np.int64)
+        kept[1:] = matched[:-1]
+        since = at.copy()
+        since[1:] = np.where(left[1:] > 0, begin[:-1], at[1:])
+        m = np.where(by_diagonal, kept + same, matched)
+        s = np.where(by_diagonal, since, begin)
+        reach = now + step
+        best = np.maximum.accumulate(reach)
+        source = np.maximum.accumulate(np.where(reach >= best, at, 0))
+        score, matched, begin = best - step, m[source], s[source]
+        better = score > top
+        np.copyto(top, score, where=better)
+        np.copyto(top_matched, matched, where=better)
+        np.copyto(top_begin, begin, where=better)
+    out = []
+    for h, z in zip(heads[:-1], heads[1:]):
+        j = int(h + top[h:z].argmax())
+        out.append((int(top[j]), int(top_matched[j]), int(top_begin[j] - h - 1), int(j - h), int(top_run[h:z].max())) if top[j] > 0 else (0, 0, 0, 0, 0))
+    return out
 
 
 def leaks(documents: DataFrame, items: DataFrame, n: int = NGRAM, run: int = RUN) -> DataFrame:
@@ -168,7 +208,7 @@ def leaks(documents: DataFrame, items: DataFrame, n: int = NGRAM, run: int = RUN
     ``longest_run`` is exact where it is at least ``run`` words. Words are runs of letters and digits; letter case,
     accents, punctuation, markup, entities, white space, line ends inside a word, invisible characters and width make no
     difference. Null and empty texts hold nothing; rows with null ids are left out; a repeated document gives one row per
-    item. Items are broadcast in blocks of a checked size, so any number of items will do.
+    item. Items are broadcast in blocks of a checked size, each of which reads the corpus once, so any number will do.
     """
     held = items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     parts = max(1, -(-held[0] // BLOCK), -(-held[1] // BLOCK_BYTES))
@@ -185,28 +225,50 @@ def _leaks(documents: DataFrame, items: DataFrame, n: int, run: int) -> DataFram
     seeds = rare_seeds(hits, items, n, run)
     texts = items.select("item_id", F.col("text").alias("item_text")).where("item_id IS NOT NULL AND text IS NOT NULL")
     texts = F.broadcast(texts.join(seeds, "item_id"))  # a block of items, checked by leaks()
-    near = hits.join(texts, "item_id").where(F.arrays_overlap("gram_hash", "seeds"))
+    near = hits.join(texts, "item_id").where(F.arrays_overlap("grams", "seeds"))
+    names = ["doc_id", "item_id", "score", "matched", "item_words", "coverage", "longest_run", "first_word", "last_word"]
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache: dict[int, list[list[str]]] = {}
+        known: dict[int, list[list[str]]] = {}
         for b in batches:
-            out = []
-            for doc, item, first, passage, text in zip(b.doc_id, b.item_id, b["first"], b.passage, b.item_text):
-                ws = passage.split(" ")
-                for own in cache.setdefault(item, words(text)):
-                    s, m, a, z, r = align(own, ws)
-                    out.append((doc, item, s, m, len(own), m / max(1, len(own)), r, first + a, first + z))
-            yield pd.DataFrame(out, columns=cols)
-
-    cols = ["doc_id", "item_id", "score", "matched", "item_words", "coverage", "longest_run", "first_word", "last_word"]
-    scored = near.select("doc_id", "item_id", "first", "passage", "item_text").mapInPandas(score, "doc_id bigint, item_id bigint, score int, matched int, item_words int, coverage double, longest_run int, first_word int, last_word int")
+            out: list[tuple] = []
+            for item, part in b.groupby("item_id", sort=False):
+                own = known.setdefault(item, words(part.item_text.iloc[0]))
+                docs, firsts, passages = part.doc_id.tolist(), part["first"].tolist(), [p.split(" ") for p in part.passage]
+                for low, high in _runs([len(p) for p in passages]):
+                    for a in own:
+                        for doc, first, (s, m, x, z, r) in zip(docs[low:high], firsts[low:high], align(a, passages[low:high])):
+                            out.append((doc, item, s, m, len(a), m / max(1, len(a)), r, first + x, first + z))
+            yield pd.DataFrame(out, columns=names)
+
+    kinds = ", ".join(f"{c} {hits.schema[c].dataType.simpleString()}" for c in ("doc_id", "item_id"))
+    scored = near.select("doc_id", "item_id", "first", "passage", "item_text").mapInPandas(score, f"{kinds}, score int, matched int, item_words int, coverage double, longest_run int, first_word int, last_word int")
     rest = F.max_by(F.struct("score", "matched", "item_words", "coverage", "first_word", "last_word"), F.struct("score", "matched", F.negative("first_word"), F.negative("last_word"))).alias("b")
     return scored.groupBy("doc_id", "item_id").agg(rest, F.max("longest_run").alias("longest_run")).select("doc_id", "item_id", "b.score", "b.matched", "b.item_words", "b.coverage", "longest_run", "b.first_word", "b.last_word")
 
 
+def _runs(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Ranges of passages with about COLUMNS words in all."""
+    low, total = 0, 0
+    for k, size in enumerate(sizes):
+        if total and total + size > COLUMNS:
+            yield low, k
+            low, total = k, 0
+        total += size
+    if low < len(sizes):
+        yield low, len(sizes)
+
+
 def leaked_pairs(documents: DataFrame, items: DataFrame, run: int = RUN) -> DataFrame:
-    """(doc_id, item_id): the document holds at least ``run`` consecutive words of the item."""
-    return leaks(documents, items, run=run).where(F.col("longest_run") >= run).select("doc_id", "item_id")
+    """(doc_id, item_id): the document holds at least ``run`` consecutive words of the item. Such a run alone scores
+    ``run`` matches, so pairs whose alignment scores less are none; the exact check of the run follows."""
+    return leaks(documents, items, run=run).where(F.col("score") >= MATCH * run).where(F.col("longest_run") >= run).select("doc_id", "item_id")
+
+
+def edited_copies(documents: DataFrame, items: DataFrame, coverage: float = 0.5, least_words: int = RUN) -> DataFrame:
+    """The rows of :func:`leaks` in which the alignment covers at least that part of the item and as many words, whether
+    or not a long run is left unedited."""
+    return leaks(documents, items).where((F.col("coverage") >= coverage) & (F.col("matched") >= least_words))
 
 
 def leaked_items(documents: DataFrame, items: DataFrame) -> DataFrame:

@@ -57,6 +57,10 @@ def p6_leaks(spark: SparkSession, d: str) -> DataFrame:
     return leakage.leaks(_t(spark, d, "documents"), _t(spark, d, "eval_items"))
 
 
+def p6_edited(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.edited_copies(_t(spark, d, "documents"), _t(spark, d, "eval_items"))
+
+
 def p6_items(spark: SparkSession, d: str) -> DataFrame:
     return leakage.leaked_items(_t(spark, d, "documents"), _t(spark, d, "eval_items"))
 
@@ -82,7 +86,7 @@ def p8_pieces(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p2_found, p2_report, p2_sample, p3_found, p3_splits, p3_report, p4_found, p4_report, p6_found, p6_leaks, p6_items, p7_found, p7_mix, p7_report, p8_found, p8_pieces)}
+    return {f.__name__: f for f in (p2_found, p2_report, p2_sample, p3_found, p3_splits, p3_report, p4_found, p4_report, p6_found, p6_leaks, p6_edited, p6_items, p7_found, p7_mix, p7_report, p8_found, p8_pieces)}
 
 
 _META = """(SELECT image_id, any_value(nullif(lower(trim(object_id)), '')) AS o, any_value(CASE WHEN regexp_matches(media_id, '[0-9]') THEN lower(trim(media_id)) END) AS m, any_value(nullif(lower(trim(sha256)), '')) AS s,

@@ -81,9 +81,52 @@ def test_edited_copy_scores_high(spark):
     assert (r.matched, r.longest_run, r.first_word, r.last_word) == (37, 10, 2, 42) and r.coverage > 0.9
 
 
+def test_recall_of_edited_copies(spark):
+    r = random.Random(9)
+    vocab = [f"w{i}" for i in range(2000)] + ["the", "of", "and", "in"] * 100
+    items = [(i, "s", " ".join(r.choice(vocab) for _ in range(r.randrange(40, 120))), 0) for i in range(40)]
+    docs, want = [], set()
+    for d in range(300):
+        ws = [r.choice(vocab) for _ in range(r.randrange(50, 200))]
+        if d % 2:
+            i, _, text, _ = r.choice(items)
+            copy = []
+            for w in text.split():
+                x = r.random()  # one word in ten is replaced, left out or has another before it
+                copy += [r.choice(vocab)] if x < 0.05 else [] if x < 0.075 else [r.choice(vocab), w] if x < 0.1 else [w]
+            ws[20:20] = copy
+            want.add((d, i))
+        docs.append((d, " ".join(ws), 1, ""))
+    got = {(x.doc_id, x.item_id) for x in L.edited_copies(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)).collect()}
+    assert len(got & want) >= 0.95 * len(want) and got <= want
+
+
+def test_hashes_do_not_depend_on_the_order_of_items():
+    items, _ = corpus()
+    pairs = [(i, t) for i, _, t, _ in items]
+    a, b = L.Index(pairs, 6), L.Index(pairs[::-1], 6)
+    assert a.vocab == b.vocab and (a.keys == b.keys).all()
+
+
+def test_long_passages_are_cut_without_loss(spark, monkeypatch):
+    items, docs = corpus(11)
+    monkeypatch.setattr(L, "PASSAGE", 1)
+    monkeypatch.setattr(L, "COLUMNS", 50)
+    got = {tuple(r) for r in L.leaked_pairs(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)).collect()}
+    assert got == brute(items, docs)
+
+
+def test_item_in_a_repetitive_document(spark):
+    item = " ".join(f"r{i % 3}" for i in range(300))
+    text = " ".join(f"r{i % 3}" for i in range(300_000))
+    r = L.leaks(spark.createDataFrame([(1, text, 0, "")], DOCS), spark.createDataFrame([(3, "s", item, 0)], ITEMS)).first()
+    assert (r.longest_run, r.coverage) == (300, 1.0)
+
+
 def test_alignment_by_plain_dynamic_programming():
     r = random.Random(1)
-    for _ in range(60):
+    cases = []
+    for _ in range(80):
         a, b = [r.choice("abcd") for _ in range(r.randrange(9))], [r.choice("abcd") for _ in range(r.randrange(12))]
         best, run, h, c = 0, 0, {}, {}
         for i, x in enumerate(a):
@@ -92,8 +135,13 @@ def test_alignment_by_plain_dynamic_programming():
                 run = max(run, c[i, j])
                 h[i, j] = max(0, h.get((i - 1, j - 1), 0) + (2 if x == y else -1), h.get((i - 1, j), 0) - 1, h.get((i, j - 1), 0) - 1)
                 best = max(best, h[i, j])
-        got = L.align(a, b)
-        assert (got[0], got[4]) == (best, run)
+        cases.append((a, b, best, run))
+    for a in {tuple(c[0]) for c in cases}:
+        same = [c for c in cases if tuple(c[0]) == a] + cases[:5]
+        got = L.align(list(a), [b for _, b, *_ in same])
+        for (x, b, best, run), (score, matched, first, last, longest) in zip(same, got):
+            if tuple(x) == a:
+                assert (score, longest) == (best, run) and matched <= last - first and 2 * matched >= score
 
 
 def test_empty_tables(spark):

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftwork.functions.values import hamming
@@ -13,17 +15,12 @@ from siftwork.operators.sampling import global_rank
 from siftwork.session import cut
 
 
-#: Members up to which a group's list is written out where ``whole`` isn't asked for. Larger groups then keep their counts
-#: and have a null list; :func:`duplicate_groups` on the same key has their members as rows. The queries ask for all.
-LISTED = 10_000
-
-
-def _lists(df: DataFrame, key: str, sizes: DataFrame, size: str, whole: bool, **columns: str) -> DataFrame:
-    """(key, one joined sorted list per column) of the groups that ``sizes`` has, unless ``whole`` only of those with at
-    most LISTED members. A whole list is one cell, so one task has to hold it."""
-    some = df.join((sizes if whole else sizes.where(F.col(size) <= LISTED)).select(key), key)
+def _lists(df: DataFrame, key: str, sizes: DataFrame, **columns: str) -> DataFrame:
+    """(key, one joined sorted list per column) of the groups that ``sizes`` has. A list is one cell, so the task that
+    writes it holds the whole of it; the members as rows come from :func:`duplicate_groups`, :func:`shared_objects` and
+    :func:`component_members`."""
     joined = [F.array_join(F.transform(F.array_sort(F.collect_set(c)), lambda x: x.cast("string")), "; ").alias(name) for name, c in columns.items()]
-    return some.groupBy(key).agg(*joined)
+    return df.join(sizes.select(key), key).groupBy(key).agg(*joined)
 
 
 def merge_first_wins(inputs: Sequence[DataFrame], keys: Sequence[str], order: str) -> DataFrame:
@@ -59,14 +56,28 @@ def duplicate_pairs(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame
     return with_key.join(first, names).where(F.col(order) > F.col("_first")).drop(*names, "_first")
 
 
-def shared_keys(df: DataFrame, key: str, object_col: str, unit_col: str, whole: bool = False) -> DataFrame:
-    """Keys that stand with more than one distinct object: (key, object_count, row_count, objects, units), lists sorted.
-    Blank keys and objects are skipped. ``whole`` gives the lists of groups of every size."""
+def _shared_triples(df: DataFrame, key: str, object_col: str, unit_col: str) -> DataFrame:
     ok = df.where((F.coalesce(F.trim(key), F.lit("")) != "") & (F.coalesce(F.trim(object_col), F.lit("")) != ""))
-    triples = ok.groupBy(key, object_col, unit_col).agg(F.count("*").alias("n"))
+    return ok.groupBy(key, object_col, unit_col).agg(F.count("*").alias("n"))
+
+
+def _shared_sizes(triples: DataFrame, key: str, object_col: str) -> DataFrame:
     pairs = triples.groupBy(key, object_col).agg(F.sum("n").alias("n"))
-    sizes = pairs.groupBy(key).agg(F.count("*").alias("object_count"), F.sum("n").alias("row_count")).where("object_count > 1")
-    return sizes.join(_lists(triples, key, sizes, "object_count", whole, objects=object_col, units=unit_col), key, "left").select(key, "object_count", "row_count", "objects", "units")
+    return pairs.groupBy(key).agg(F.count("*").alias("object_count"), F.sum("n").alias("row_count")).where("object_count > 1")
+
+
+def shared_keys(df: DataFrame, key: str, object_col: str, unit_col: str) -> DataFrame:
+    """Keys that stand with more than one distinct object: (key, object_count, row_count, objects, units), lists sorted.
+    Blank keys and objects are skipped."""
+    triples = _shared_triples(df, key, object_col, unit_col)
+    sizes = _shared_sizes(triples, key, object_col)
+    return sizes.join(_lists(triples, key, sizes, objects=object_col, units=unit_col), key).select(key, "object_count", "row_count", "objects", "units")
+
+
+def shared_objects(df: DataFrame, key: str, object_col: str, unit_col: str) -> DataFrame:
+    """(key, object, unit, n): the same as rows, one for each key, object and unit, with its count of rows."""
+    triples = _shared_triples(df, key, object_col, unit_col)
+    return triples.join(_shared_sizes(triples, key, object_col).select(key), key, "left_semi").select(key, object_col, unit_col, "n")
 
 
 def flag_members(df: DataFrame, keys: DataFrame, key: str, flag: str) -> DataFrame:
@@ -89,58 +100,84 @@ def duplicate_groups(df: DataFrame, key: str, id_col: str) -> DataFrame:
     return ok.join(size, key).select(key, id_col, "group_size")
 
 
-def grouped_ids(df: DataFrame, key: str, id_col: str, object_col: str, whole: bool = False) -> DataFrame:
-    """Groups of two or more rows with one key: (key, n, ids, objects), ids and distinct objects sorted and joined.
-    ``whole`` gives the lists of groups of every size."""
+def grouped_ids(df: DataFrame, key: str, id_col: str, object_col: str) -> DataFrame:
+    """Groups of two or more rows with one key: (key, n, ids, objects), ids and distinct objects sorted and joined."""
     ok = df.where(F.coalesce(F.trim(key), F.lit("")) != "")
     sizes = ok.groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
-    return sizes.join(_lists(ok, key, sizes, "n", whole, ids=id_col, objects=object_col), key, "left").select(key, "n", "ids", "objects")
+    return sizes.join(_lists(ok, key, sizes, ids=id_col, objects=object_col), key).select(key, "n", "ids", "objects")
 
 
-#: Codes that share a pair of pieces before it is split further.
+#: Codes that share a set of pieces before it is split further.
 HOT = 20_000
 
 
-def _part_masks(bits: list[int], n: int) -> list[int]:
-    """Masks, as signed numbers, of ``n`` nearly equal parts of the given bits."""
-    edges = [round(len(bits) * m / n) for m in range(n + 1)]
-    out = [sum(1 << b for b in bits[edges[m] : edges[m + 1]]) for m in range(n)]
-    return [m - (1 << 64) if m >> 63 else m for m in out]
+def hamming_scheme(codes: int, max_distance: int, bits: int = 64) -> tuple[list[tuple[int, int]], list[tuple[int, ...]]]:
+    """(pieces as (shift, width), sets of pieces): if two codes differ in at most ``max_distance`` bits, they agree in all
+    pieces of one of the sets. More and smaller pieces mean more sets, each with more bits; the number of pieces is the one
+    with the least keys and expected chance matches per code, so both grow slower than the number of codes."""
+    best = None
+    for k in range(max_distance + 1, max_distance + 7):
+        edges = [round(bits * i / k) for i in range(k + 1)]
+        pieces = [(a, b - a) for a, b in zip(edges, edges[1:])]
+        sets = list(combinations(range(k), k - max_distance))
+        cost = sum(1 + codes / 2.0 ** sum(pieces[i][1] for i in own) for own in sets)
+        if best is None or cost < best[0]:
+            best = cost, pieces, sets
+    return best[1], best[2]
+
+
+def piece_of(h: Column, shift: int, width: int) -> Column:
+    return F.shiftrightunsigned(h, shift).bitwiseAND(F.lit((1 << width) - 1 if width < 64 else -1))
+
+
+def piece_key(h: Column, pieces: Sequence[tuple[int, int]], own: Sequence[int]) -> Column:
+    """The bits of a set of pieces as one number."""
+    out = F.lit(0).cast("bigint")
+    for i in own:
+        out = F.shiftleft(out, pieces[i][1] % 64).bitwiseOR(piece_of(h, *pieces[i]))
+    return out
+
+
+def part_masks(pieces: Sequence[tuple[int, int]], own: Sequence[int], n: int) -> list[int]:
+    """Masks of ``n`` nearly equal parts of the bits that are not in a set of pieces."""
+    rest = [b for k, (shift, width) in enumerate(pieces) if k not in own for b in range(shift, shift + width)]
+    edges = [round(len(rest) * m / n) for m in range(n + 1)]
+    return [sum(1 << b for b in rest[edges[m] : edges[m + 1]]) for m in range(n)]
+
+
+def signed(m: int) -> int:
+    return m - (1 << 64) if m >> 63 else m
 
 
 def hamming_pairs(df: DataFrame, id_col: str, bits_col: str, max_distance: int = 4, other: str | None = None) -> DataFrame:
     """(a, b, distance) of rows whose 64-bit codes differ in at most ``max_distance`` bits, a below b; where ``other`` is
     given, pairs with equal ``other`` are left out.
 
-    Exact by the pigeonhole principle: of ``max_distance + 2`` pieces, two agree, so the codes are joined on each pair of
-    pieces. A pair of pieces that more than HOT codes share is split once more: the other bits make ``max_distance + 1``
-    parts, of which one must agree too. The join runs on distinct codes, and a pair is kept only by the first pair of pieces that agrees; rows with
-    equal codes are expanded at the end. Null codes match nothing.
+    Exact by the pigeonhole principle: codes are joined on each set of pieces that :func:`hamming_scheme` picks for their
+    number. A set that more than HOT codes share is split once more: the other bits make ``max_distance + 1`` parts, of
+    which one must agree too. The join runs on distinct codes, and a pair is kept only by the first set that agrees; rows
+    with equal codes are expanded at the end. Null codes match nothing.
     """
-    k = max_distance + 2
-    edges = [round(64 * i / k) for i in range(k + 1)]
     rows = df.where(F.col(bits_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(bits_col).alias("h"), *([F.col(other).alias("o")] if other else [])).distinct()
     codes = rows.select("h").distinct()
-    piece = lambda h, i: F.shiftrightunsigned(h, edges[i]).bitwiseAND(F.lit((1 << (edges[i + 1] - edges[i])) - 1))
-    pairs = [(i, j) for i in range(k) for j in range(i + 1, k)]
-    keyed = codes.select("h", F.posexplode(F.array(*[F.struct(piece(F.col("h"), i).alias("x"), piece(F.col("h"), j).alias("y")) for i, j in pairs])).alias("p", "k")).select("h", "p", "k.x", "k.y")
-    hot = cut(keyed.groupBy("p", "x", "y").agg(F.count("*").alias("c")).where(F.col("c") > HOT).select("p", "x", "y"), "hot")
-    masks = [_part_masks([b for q in range(k) if q not in (i, j) for b in range(edges[q], edges[q + 1])], max_distance + 1) for i, j in pairs]
-    part = lambda h, m: h.bitwiseAND(F.element_at(F.array(*[F.lit(own[m]) for own in masks]), F.col("p") + 1))
+    pieces, sets = hamming_scheme(codes.count(), max_distance)
+    keyed = codes.select("h", F.posexplode(F.array(*[piece_key(F.col("h"), pieces, own) for own in sets])).alias("p", "x"))
+    hot = cut(keyed.groupBy("p", "x").agg(F.count("*").alias("c")).where(F.col("c") > HOT).select("p", "x"), "hot")
+    masks = [[signed(m) for m in part_masks(pieces, own, max_distance + 1)] for own in sets]
+    part = lambda h, m: h.bitwiseAND(F.element_at(F.array(*[F.lit(own[m]).cast("bigint") for own in masks]), F.col("p") + 1))
     none = F.array(F.struct(F.lit(-1).alias("m"), F.lit(0).cast("bigint").alias("s")))
     split = none
     if not hot.isEmpty():
         parts = F.array(*[F.struct(F.lit(m).alias("m"), part(F.col("h"), m).alias("s")) for m in range(max_distance + 1)])
-        keyed = keyed.join(hot.withColumn("hot", F.lit(True)), ["p", "x", "y"], "left")
+        keyed = keyed.join(hot.withColumn("hot", F.lit(True)), ["p", "x"], "left")
         split = F.when(F.col("hot").isNotNull(), parts).otherwise(none)
-    keyed = keyed.select("h", "p", "x", "y", F.explode(split).alias("k")).select("h", "p", "x", "y", "k.m", "k.s")
-    on = ["p", "x", "y", "m", "s"]
-    near = keyed.withColumnRenamed("h", "h1").join(keyed.withColumnRenamed("h", "h2"), on).where("h1 < h2")
+    keyed = keyed.select("h", "p", "x", F.explode(split).alias("k")).select("h", "p", "x", "k.m", "k.s")
+    near = keyed.withColumnRenamed("h", "h1").join(keyed.withColumnRenamed("h", "h2"), ["p", "x", "m", "s"]).where("h1 < h2")
     first_part = F.coalesce(*[F.when(part(F.col("h1").bitwiseXOR(F.col("h2")), m) == 0, F.lit(m)) for m in range(max_distance + 1)])
     near = near.where((F.col("m") == -1) | (F.col("m") == first_part))
     near = near.withColumn("distance", hamming("h1", "h2")).where(F.col("distance") <= max_distance)
-    agree = [piece(F.col("h1"), i) == piece(F.col("h2"), i) for i in range(k)]
-    first = F.coalesce(*[F.when(agree[i] & agree[j], F.lit(n)) for n, (i, j) in enumerate(pairs)])
+    agree = [piece_of(F.col("h1"), *piece) == piece_of(F.col("h2"), *piece) for piece in pieces]
+    first = F.coalesce(*[F.when(reduce(lambda x, y: x & y, [agree[i] for i in own]), F.lit(n)) for n, own in enumerate(sets)])
     near = near.where(F.col("p") == first).select("h1", "h2", "distance")
     near = near.unionByName(codes.select(F.col("h").alias("h1"), F.col("h").alias("h2"), F.lit(0).alias("distance")))
     side = lambda n: rows.select(F.col("h").alias(f"h{n}"), F.col("id").alias(f"i{n}"), *([F.col("o").alias(f"o{n}")] if other else []))
@@ -159,6 +196,11 @@ def near_components(pairs: DataFrame, members: DataFrame, id_col: str, object_co
     named = comp.join(members.select(id_col, object_col, *more).dropDuplicates([id_col]), id_col).withColumnRenamed("component", "first_id")
     pairs = named.groupBy("first_id", object_col).agg(F.count("*").alias("n"))
     sizes = pairs.groupBy("first_id").agg(F.sum("n").alias("size"), F.count(object_col).alias("object_count"))
-    per = sizes.join(_lists(named, "first_id", sizes, "size", True, ids=id_col, **{name: f"_{name}" for name in lists}), "first_id", "left")
+    per = sizes.join(_lists(named, "first_id", sizes, ids=id_col, **{name: f"_{name}" for name in lists}), "first_id")
     ranked = global_rank(per.withColumn("_less", -F.col("size")), ["_less", "first_id"], "group_id")
     return ranked.select("group_id", "first_id", "size", "object_count", "ids", *lists)
+
+
+def component_members(pairs: DataFrame) -> DataFrame:
+    """(first_id, id): every member of each component of near pairs as a row, the least member as its first."""
+    return connected_components(pairs).select(F.col("component").alias("first_id"), F.col("node").alias("id"))

@@ -213,13 +213,23 @@ _SHARED = f"""(SELECT media_id, count(DISTINCT object_id) AS object_count, count
 
 @R.query(f"SELECT * FROM {_SHARED}")
 def shared_media(spark, d):
-    return dedup.shared_keys(meta(spark, d), "media_id", "object_id", "unit_code", whole=True)
+    return dedup.shared_keys(meta(spark, d), "media_id", "object_id", "unit_code")
 
 
 @R.query(f"SELECT image_id, media_id IN (SELECT media_id FROM {_SHARED}) IS TRUE AS shared FROM {META}")
 def shared_media_flags(spark, d):
     m = meta(spark, d)
-    return dedup.flag_members(m.select("image_id", "media_id"), dedup.shared_keys(m, "media_id", "object_id", "unit_code"), "media_id", "shared").select("image_id", "shared")
+    return dedup.flag_members(m.select("image_id", "media_id"), dedup.shared_objects(m, "media_id", "object_id", "unit_code"), "media_id", "shared").select("image_id", "shared")
+
+
+@R.query(f"SELECT media_id, object_id, unit_code, count(*) AS n FROM {META} WHERE media_id IN (SELECT media_id FROM {_SHARED}) AND coalesce(trim(object_id), '') <> '' GROUP BY 1, 2, 3")
+def shared_media_objects(spark, d):
+    return dedup.shared_objects(meta(spark, d), "media_id", "object_id", "unit_code")
+
+
+@R.query(f"SELECT media_id, image_id, count(*) OVER (PARTITION BY media_id) AS group_size FROM {META} WHERE coalesce(trim(media_id), '') <> '' QUALIFY group_size > 1")
+def same_media_members(spark, d):
+    return dedup.duplicate_groups(meta(spark, d), "media_id", "image_id")
 
 
 _HASHED = f"(SELECT image_id, nullif(lower(trim(sha256)), '') AS sha FROM {META})"
@@ -237,7 +247,7 @@ def duplicate_groups(spark, d):
 
 @R.query(f"""SELECT media_id, count(*) AS n, array_to_string(list_sort(list(image_id)), '; ') AS ids, array_to_string(list_sort(list(DISTINCT object_id)), '; ') AS objects FROM {META} WHERE coalesce(trim(media_id), '') <> '' GROUP BY 1 HAVING count(*) > 1""")
 def same_media_groups(spark, d):
-    return dedup.grouped_ids(meta(spark, d), "media_id", "image_id", "object_id", whole=True)
+    return dedup.grouped_ids(meta(spark, d), "media_id", "image_id", "object_id")
 
 
 _BITS = f"(SELECT image_id, lower(trim(sha256)) AS sha, CAST('0x' || lower(trim(phash)) AS UBIGINT) AS h FROM {META} WHERE regexp_full_match(lower(trim(phash)), '[0-9a-f]{{16}}'))"
@@ -262,6 +272,12 @@ def near_components(spark, d):
     return dedup.near_components(pairs.select("a", "b"), m, "image_id", "object_id")
 
 
+@R.query(f"""WITH RECURSIVE e AS (SELECT a, b FROM {_NEAR} UNION ALL SELECT b, a FROM {_NEAR}), r(node, root) AS (SELECT a, a FROM e UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.node)
+ SELECT min(root) AS first_id, node AS id FROM r GROUP BY 2""")
+def near_component_members(spark, d):
+    return dedup.component_members(_near(spark, d)[0].select("a", "b"))
+
+
 def _distinct(c: str) -> str:
     return f"array_to_string(list_sort(list(DISTINCT coalesce({c}, ''))), '; ')"
 

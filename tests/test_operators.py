@@ -3,7 +3,6 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from siftwork.operators import decide, dedup, profile, release, sampling, search, splitting, validate
 from siftwork.operators.graph import connected_components
 
@@ -59,9 +58,11 @@ def test_components_of_a_star_and_a_chain(spark):
     assert {r.component: r["count"] for r in got} == {0: 500, 1000: 301}
 
 
-@pytest.mark.parametrize("hot", [20_000, 2])
-def test_hamming_pairs_against_brute_force(spark, monkeypatch, hot):
+@pytest.mark.parametrize("hot, codes_seen", [(20_000, None), (2, None), (2, 10**8)])
+def test_hamming_pairs_against_brute_force(spark, monkeypatch, hot, codes_seen):
     monkeypatch.setattr(dedup, "HOT", hot)
+    scheme = dedup.hamming_scheme
+    monkeypatch.setattr(dedup, "hamming_scheme", lambda n, d: scheme(codes_seen or n, d))
     r = random.Random(8)
     codes = [r.getrandbits(64) for _ in range(40)]
     rows = [(i, (lambda x: x - (1 << 64) if x >> 63 else x)(r.choice(codes) ^ sum(1 << b for b in r.sample(range(64), r.randrange(6)))), r.choice("pq")) for i in range(200)] + [(900, None, "p")]
@@ -197,30 +198,24 @@ def test_long_top_lists_are_salted(spark):
     assert sorted(got) == list(range(1500))
 
 
-def test_large_groups_keep_counts_without_lists(spark, monkeypatch):
-    monkeypatch.setattr(dedup, "LISTED", 2)
-    df = spark.createDataFrame([(1, "k", "a"), (2, "k", "b"), (3, "k", "c"), (4, "l", "a"), (5, "l", "b"), (6, "m", "a"), (7, " ", "a")], "id long, k string, o string")
-    assert {tuple(r) for r in dedup.grouped_ids(df, "k", "id", "o").collect()} == {("k", 3, None, None), ("l", 2, "4; 5", "a; b")}
-    assert {(r.k, r.object_count, r.objects) for r in dedup.shared_keys(df, "k", "o", "o").collect()} == {("k", 3, None), ("l", 2, "a; b")}
-    assert dedup.duplicate_groups(df, "k", "id").count() == 5
-
-
-def test_whole_lists_of_large_groups(spark, monkeypatch):
-    monkeypatch.setattr(dedup, "LISTED", 2)
-    rows = [(1, "k", "a", "u"), (2, "k", "b", None), (3, "k", "b", "u"), (4, "k", "c", "v"), (5, "l", "a", "u")]
+def test_lists_and_members_of_groups(spark):
+    rows = [(1, "k", "a", "u"), (2, "k", "b", None), (3, "k", "b", "u"), (4, "k", "c", "v"), (5, "l", "a", "u"), (6, " ", "a", "u")]
     df = spark.createDataFrame(rows, "id long, k string, o string, u string")
-    assert [tuple(r) for r in dedup.grouped_ids(df, "k", "id", "o", whole=True).collect()] == [("k", 4, "1; 2; 3; 4", "a; b; c")]
-    assert [tuple(r) for r in dedup.shared_keys(df, "k", "o", "u", whole=True).collect()] == [("k", 3, 4, "a; b; c", "u; v")]
+    assert [tuple(r) for r in dedup.grouped_ids(df, "k", "id", "o").collect()] == [("k", 4, "1; 2; 3; 4", "a; b; c")]
+    assert [tuple(r) for r in dedup.shared_keys(df, "k", "o", "u").collect()] == [("k", 3, 4, "a; b; c", "u; v")]
+    assert {tuple(r) for r in dedup.shared_objects(df, "k", "o", "u").collect()} == {("k", "a", "u", 1), ("k", "b", None, 1), ("k", "b", "u", 1), ("k", "c", "v", 1)}
+    assert {tuple(r) for r in dedup.duplicate_groups(df, "k", "id").collect()} == {("k", i, 4) for i in range(1, 5)}
     pairs = spark.createDataFrame([(1, 2), (2, 3), (3, 4)], "a long, b long")
     assert [tuple(r) for r in dedup.near_components(pairs, df, "id", "o", objects="o", units="u").collect()] == [(1, 1, 4, 3, "1; 2; 3; 4", "a; b; c", "; u; v")]
+    assert {tuple(r) for r in dedup.component_members(pairs).collect()} == {(1, i) for i in range(1, 5)}
 
 
-@pytest.mark.parametrize("name", ["same_media_groups", "shared_media", "near_components"])
-def test_queries_list_groups_of_every_size(spark, tiny, monkeypatch, name):
-    monkeypatch.setattr(dedup, "LISTED", 0)
-    lists = {"same_media_groups": ["ids", "objects"], "shared_media": ["objects"], "near_components": ["ids"]}[name]
-    rows = entry.queries()[name](spark, tiny).collect()
-    assert rows and all(r[c] is not None for r in rows for c in lists)
+def test_pieces_grow_with_the_codes():
+    sets = [len(dedup.hamming_scheme(n, 4)[1]) for n in (10**3, 10**6, 10**7, 10**9)]
+    assert sets == sorted(sets) and sets[0] < sets[-1]
+    for n in (10, 10**9):
+        pieces, own = dedup.hamming_scheme(n, 4)
+        assert sum(w for _, w in pieces) == 64 and all(len(x) == len(pieces) - 4 for x in own)
 
 
 def test_many_queries_equal_brute_force(spark, monkeypatch):

@@ -40,11 +40,19 @@ def p3_report(spark: SparkSession, d: str) -> DataFrame:
     return related_splits.split_report(related_splits.assign_splits(_t(spark, d, "metadata")))
 
 
+def p3_labels(spark: SparkSession, d: str) -> DataFrame:
+    return related_splits.label_report(related_splits.assign_splits(_t(spark, d, "metadata")))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     _, pairs = cross_split.overlaps(_t(spark, d, "metadata"), _t(spark, d, "splits"))
     return pairs.select(F.least("train_id", "eval_id").alias("image_id_a"), F.greatest("train_id", "eval_id").alias("image_id_b"))
 
 
+def p4_coverage(spark: SparkSession, d: str) -> DataFrame:
+    return cross_split.evaluation_coverage(_t(spark, d, "metadata"), _t(spark, d, "splits"))
+
+
 def p4_report(spark: SparkSession, d: str) -> DataFrame:
     return cross_split.overlap_report(_t(spark, d, "metadata"), _t(spark, d, "splits"))
 
@@ -86,7 +94,7 @@ def p8_pieces(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p2_found, p2_report, p2_sample, p3_found, p3_splits, p3_report, p4_found, p4_report, p6_found, p6_leaks, p6_edited, p6_items, p7_found, p7_mix, p7_report, p8_found, p8_pieces)}
+    return {f.__name__: f for f in (p2_found, p2_report, p2_sample, p3_found, p3_splits, p3_report, p3_labels, p4_found, p4_coverage, p4_report, p6_found, p6_leaks, p6_edited, p6_items, p7_found, p7_mix, p7_report, p8_found, p8_pieces)}
 
 
 _META = """(SELECT image_id, any_value(nullif(lower(trim(object_id)), '')) AS o, any_value(CASE WHEN regexp_matches(media_id, '[0-9]') THEN lower(trim(media_id)) END) AS m, any_value(nullif(lower(trim(sha256)), '')) AS s,
@@ -111,5 +119,14 @@ _P4_REPORT = f"""WITH j AS MATERIALIZED (SELECT x.*, sp FROM {_META} x JOIN (SEL
  SELECT sp AS split, coalesce(institution, '') AS institution, count(*) AS records, count(n) AS overlapping, CAST(coalesce(sum(n), 0) AS BIGINT) AS pairs FROM j LEFT JOIN p ON p.i = j.image_id WHERE sp IN ('validation', 'test') GROUP BY 1, 2"""
 
 
+_DIGITS = "list_sum(list_transform(range(16), lambda i: CASE WHEN ((xor(t.h, e.h) >> (4 * i)) & 15) = 0 THEN 1 << i ELSE 0 END))"
+_P4_COVERAGE = f"""WITH j AS MATERIALIZED (SELECT x.*, sp FROM {_META} x JOIN (SELECT image_id, any_value(lower(trim(split))) AS sp FROM splits GROUP BY 1) y ON y.image_id = x.image_id),
+ p AS (SELECT e.image_id AS i, count(*) AS n, bool_or(coalesce(t.s = e.s, false)) AS s, bool_or(coalesce(t.o = e.o, false)) AS o, bool_or(coalesce(bit_count(xor(t.h, e.h)) <= 4, false)) AS p, bit_or(CASE WHEN bit_count(xor(t.h, e.h)) <= 4 THEN CAST({_DIGITS} AS INTEGER) ELSE 0 END) AS d
+  FROM j t JOIN j e ON t.sp = 'train' AND e.sp IN ('validation', 'test') AND (t.s = e.s OR t.o = e.o OR bit_count(xor(t.h, e.h)) <= 4) GROUP BY 1)
+ SELECT image_id, sp AS split, n AS train_records, CASE WHEN p.o THEN 'o' ELSE '' END || CASE WHEN p.p THEN 'p' ELSE '' END || CASE WHEN p.s THEN 's' ELSE '' END AS kinds,
+  CAST(CASE WHEN p.s THEN length(j.s) ELSE 0 END + bit_count(d) + CASE WHEN p.o THEN length(j.o) ELSE 0 END AS DOUBLE) / (coalesce(length(j.s), 0) + CASE WHEN j.h IS NULL THEN 0 ELSE 16 END + coalesce(length(j.o), 0)) AS coverage
+ FROM j JOIN p ON p.i = j.image_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"p2_found": _P2, "p3_found": _P3, "p4_found": _P4, "p4_report": _P4_REPORT}
+    return {"p2_found": _P2, "p3_found": _P3, "p4_found": _P4, "p4_report": _P4_REPORT, "p4_coverage": _P4_COVERAGE}

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from siftwork.functions.keys import norm_key, one_row_per
 from siftwork.operators.graph import connected_components
-from siftwork.session import cut
+from siftwork.session import cut, join_hot
 
 SPLITS = ("train", "validation", "test")
 RATIOS = (0.8, 0.1, 0.1)
@@ -48,12 +48,6 @@ def _groups(base: DataFrame, id_col: str) -> DataFrame:
     return node.join(comp, "node").join(size, "component").select("obj", F.col("component").alias("group_id"), "n_objects")
 
 
-def spanning_groups(records: DataFrame, id_col: str = "image_id", object_col: str = "object_id", media_col: str = "media_id") -> DataFrame:
-    """(group_image_id, id): each record of each group that spans two or more objects."""
-    base, groups = related_groups(records, id_col, object_col, media_col)
-    return base.select("obj", id_col).join(groups, "obj").select(F.col("group_id").alias("group_image_id"), id_col)
-
-
 def anneal(vectors: np.ndarray, start: np.ndarray, want: np.ndarray, seed: int, chains: int = CHAINS, steps: int = STEPS, scale: np.ndarray | None = None) -> np.ndarray:
     """Component swap search. ``vectors``: a row per component with its size and then its records of each label;
     ``start``: its split; ``want``: a row per split of the same columns; a deviation counts as a part of ``scale``, by
@@ -110,7 +104,8 @@ def anneal(vectors: np.ndarray, start: np.ndarray, want: np.ndarray, seed: int,
 
 
 def assign_splits(records: DataFrame, id_col: str = "image_id", object_col: str = "object_id", media_col: str = "media_id", label_col: str = "category_code", ratios: tuple[float, ...] = RATIOS, names: tuple[str, ...] = SPLITS, seed: int = 7) -> DataFrame:
-    """(id, group_id, split): records tied by object or medium share a split; sizes and labels are near ``ratios``.
+    """(id, group_id, n_objects, label, split): records tied by object or medium share a split; sizes and labels are near
+    ``ratios``. ``n_objects`` is the number of objects of the group, ``label`` the normalised label.
 
     Each component starts in the split its hash gives. The heavy components, at most 2,000 whatever the data, are
     annealed together against the targets of all records, in size and in each label; the rest is dealt by hash to shards
@@ -121,9 +116,9 @@ def assign_splits(records: DataFrame, id_col: str = "image_id", object_col: str
     if len(ratios) != len(names) or abs(sum(ratios) - 1) > 1e-9 or min(ratios) < 0:
         raise ValueError("ratios must be as many as names, not negative, and sum to 1")
     base, groups = related_groups(records.withColumn("_label", F.coalesce(norm_key(label_col), F.lit(""))), id_col, object_col, media_col, ("_label",))
-    own = base.groupBy("obj").agg(F.min(id_col).alias("own_id"))
-    key = own.join(groups.select("obj", "group_id"), "obj", "left").select("obj", F.coalesce("group_id", "own_id").alias("group_id"))
-    keyed = base.select(id_col, "obj", "_label").join(key, "obj").select(id_col, "_label", "group_id")
+    own = cut(base.groupBy("obj").agg(F.min(id_col).alias("own_id"), F.count("*").alias("n")), "objects")
+    key = own.select("obj", "own_id").join(groups, "obj", "left").select("obj", F.coalesce("group_id", "own_id").alias("group_id"), F.coalesce("n_objects", F.lit(1)).alias("n_objects"))
+    keyed = join_hot(base.select(id_col, "obj", "_label"), key, "obj", id_col, own.select("obj", "n")).select(id_col, "_label", "group_id", "n_objects")
     keyed = cut(keyed, "keyed")
     cells = keyed.groupBy("group_id", "_label").agg(F.count("*").alias("n"))
     comps = cut(cells.groupBy("group_id").agg(F.sum("n").alias("size"), F.map_from_entries(F.sort_array(F.collect_list(F.struct("_label", "n")))).alias("labels")), "components")
@@ -180,7 +175,22 @@ def assign_splits(records: DataFrame, id_col: str = "image_id", object_col: str
     rest = dealt.groupBy("shard").cogroup(dealt_marks.groupBy("of")).applyInPandas(place, shape)
     placed = big.unionByName(rest)
     name = F.element_at(F.array(*[F.lit(x) for x in names]), F.col("split") + 1)
-    return keyed.join(placed, "group_id").select(id_col, "group_id", name.alias("split"))
+    return join_hot(keyed, placed, "group_id", id_col, comps.select("group_id", F.col("size").alias("n"))).select(id_col, "group_id", "n_objects", F.col("_label").alias("label"), name.alias("split"))
+
+
+def spanning_groups(records: DataFrame, id_col: str = "image_id", object_col: str = "object_id", media_col: str = "media_id", label_col: str = "category_code") -> DataFrame:
+    """(group_image_id, id): each record of each group of :func:`assign_splits` that spans two or more objects."""
+    assigned = assign_splits(records, id_col, object_col, media_col, label_col)
+    return assigned.where("n_objects > 1").select(F.col("group_id").alias("group_image_id"), id_col)
+
+
+def label_report(assigned: DataFrame, ratios: tuple[float, ...] = RATIOS, names: tuple[str, ...] = SPLITS) -> DataFrame:
+    """(label, split, target_share, records, share, deviation): how far each label is from its share of each split."""
+    want = F.explode(F.array(*[F.struct(F.lit(n).alias("split"), F.lit(float(r)).alias("target_share")) for n, r in zip(names, ratios)])).alias("w")
+    per = assigned.groupBy("label", "split").agg(F.count("*").alias("records"))
+    whole = per.groupBy("label").agg(F.sum("records").alias("all")).select("label", "all", want).select("label", "all", "w.*")
+    told = whole.join(per, ["label", "split"], "left").withColumn("records", F.coalesce("records", F.lit(0))).withColumn("share", F.col("records") / F.col("all"))
+    return told.select("label", "split", "target_share", "records", "share", (F.col("share") - F.col("target_share")).alias("deviation"))
 
 
 def split_report(assigned: DataFrame, ratios: tuple[float, ...] = RATIOS, names: tuple[str, ...] = SPLITS) -> DataFrame:

@@ -67,8 +67,27 @@ def test_hot_keys_and_every_distance(spark):
     meta = [(i, "AB" * 32, f"{base ^ ((1 << d) - 1):016x}", f"o{i}", "I", "", "", "") for i, d in enumerate([0, 1, 2, 3, 4, 5, 6])]
     meta = [(i, None, p, o, *r) for i, _, p, o, *r in meta]
     splits = [(i, "test" if i == 0 else "train", "") for i in range(7)]
-    pairs = {r.train_id: (r.distance, r.coverage) for r in C.overlaps(spark.createDataFrame(meta, META), spark.createDataFrame(splits, SPLITS))[1].collect()}
-    assert {k: v[0] for k, v in pairs.items()} == {1: 1, 2: 2, 3: 3, 4: 4} and all(0 < v[1] < 1 for v in pairs.values())
+    m, sp = spark.createDataFrame(meta, META), spark.createDataFrame(splits, SPLITS)
+    pairs = {r.train_id: (r.distance, r.kinds) for r in C.overlaps(m, sp)[1].collect()}
+    assert pairs == {d: (d, "p") for d in (1, 2, 3, 4)}
+    (r,) = C.evaluation_coverage(m, sp).collect()
+    assert (r.image_id, r.train_records, r.kinds) == (0, 4, "p") and abs(r.coverage - 15 / 18) < 1e-9  # the last digit differs; object o0 isn't covered
+
+
+def test_coverage_merges_the_matches_of_all_training_records(spark):
+    meta = [(0, "ab", "00000000000000ff", "obj", "I", "", "", ""), (1, None, "00000000000000fe", None, "I", "", "", ""), (2, "AB ", "10000000000000ff", None, "I", "", "", ""), (3, None, None, "OBJ", "I", "", "", ""), (4, "cd", "ffffffffffffff00", "none", "I", "", "", "")]
+    splits = [(0, "validation", ""), (1, "train", ""), (2, "train", ""), (3, "train", ""), (4, "test", "")]
+    got = [tuple(r) for r in C.evaluation_coverage(spark.createDataFrame(meta, META), spark.createDataFrame(splits, SPLITS)).collect()]
+    assert got == [(0, "validation", 3, "ops", 1.0)]
+
+
+def test_more_pieces_find_the_same_pairs(spark, monkeypatch):
+    scheme = C.hamming_scheme
+    monkeypatch.setattr(C, "hamming_scheme", lambda n, d: scheme(10**8, d))
+    monkeypatch.setattr(C, "HOT", 2)
+    meta, splits, m, s = data(spark, seed=9)
+    got = [(r.train_id, r.eval_id) for r in C.overlaps(meta, splits)[1].collect()]
+    assert len(got) == len(set(got)) and set(got) == brute(m, s)
 
 
 def test_empty(spark):

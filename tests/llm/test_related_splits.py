@@ -110,6 +110,8 @@ def test_labels_are_near_their_shares_beside_a_heavy_component(spark, monkeypatc
     assert len({out[i] for i in range(600)}) == 1
     n = Counter((c, out[i]) for i, _, _, c, *_ in rows)
     every = Counter(c for _, _, _, c, *_ in rows)
+    told = {(r.label, r.split): r for r in S.label_report(S.assign_splits(spark.createDataFrame(rows, SHAPE))).collect()}
+    assert all(told[c, s].records == n[c, s] for c in "xyz" for s in S.SPLITS) and max(abs(r.deviation) for r in told.values()) < 0.02
     for c in "xyz":
         for split, share in zip(S.SPLITS, S.RATIOS):
             assert abs(n[c, split] / every[c] - share) < 0.02, (c, split, n)

@@ -113,7 +113,8 @@ def infer_levels(df: DataFrame, text_col: str = "record_json", levels: tuple[Lev
     """(levels, columns) of the merged schema. levels: ``levels`` and every other array of the records, a table of its own
     named by its path. columns: for each table, and for ``records``, the paths of its scalars from its element on.
 
-    The keys that ``*`` stands for are one path, so what is collected is as wide as the schema, not as the data.
+    The keys that ``*`` stands for are one path, so what is collected is as wide as the schema, not as the data. Where some
+    record has an array at a place that a given level passes through, that array is no table and stays in ``value``.
     """
     stars = {("$", *x.path[:i]) for x in levels for i, k in enumerate(x.path) if k == "*"}
     found = _schema(df, text_col, lambda p, k: (*p, "*" if k is not None and p in stars else k), lambda p: json.dumps(p[1:])).select("path", "kind").collect()
@@ -126,7 +127,8 @@ def infer_levels(df: DataFrame, text_col: str = "record_json", levels: tuple[Lev
             name(x.children, (*at, *x.path, None))
 
     name(levels, ())
-    arrays = {p for p, kind in kinds if kind == "array"} | set(names)
+    passed = {q[:i] for q in names for i in range(len(q)) if q[i] is not None}
+    arrays = {p for p, kind in kinds if kind == "array" and p not in passed} | set(names)
 
     def whole(path: tuple) -> tuple:
         """``path`` with a step into the element after each array, also where a value stands for its only element."""

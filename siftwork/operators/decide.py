@@ -41,14 +41,29 @@ def decision(hard: Sequence[Sequence[Rule]], soft: Sequence[Rule], names: tuple[
     return F.when(F.size(no) > 0, F.struct(F.lit(names[0]).alias("status"), no.alias("reasons"))).otherwise(F.struct(F.when(F.size(maybe) > 0, names[1]).otherwise(names[2]).alias("status"), maybe.alias("reasons")))
 
 
-def useful_fields(fields: Sequence[str], title: str, rejected_titles: Sequence[str], id_like: str = r"(?i)(?U)^(?:object|item|specimen|record)\s*[-#:]*\s*\d+$") -> Column:
-    """How many fields are present, a title that says nothing not counted."""
+def useful_fields(fields: Sequence[str], title: str, rejected_titles: Sequence[str], id_like: str) -> Column:
+    """How many fields are present. A title that is among ``rejected_titles`` or matches the pattern ``id_like`` says nothing
+    and isn't counted."""
     n = sum((present(f).cast("int") for f in fields), F.lit(0))
     t = F.lower(F.trim(F.col(title)))
     empty = present(title) & (t.isin(*[x.lower() for x in rejected_titles]) | t.rlike(id_like))
     return n - F.coalesce(empty, F.lit(False)).cast("int")
 
 
+def fixed_schema(df: DataFrame, schema: Mapping[str, str], sep: str = "|") -> DataFrame:
+    """The columns of ``schema``, in its order and with its types: missing ones null, values that don't fit null, arrays
+    joined by ``sep`` where text is asked for."""
+
+    def cell(name: str, kind: str) -> Column:
+        if name not in df.columns:
+            return F.lit(None).cast(kind)
+        if kind == "string" and df.schema[name].dataType.typeName() == "array":
+            return F.array_join(name, sep)
+        return F.col(name).try_cast(kind)
+
+    return df.select(*[cell(n, k).alias(n) for n, k in schema.items()])
+
+
 def decision_list(rules: Sequence[tuple[Column, str]], default: str) -> Column:
     """The label of the first rule that holds."""
     out = F.lit(default)

@@ -33,6 +33,17 @@ def global_rank(df: DataFrame, order: Sequence[str], name: str = "rank") -> Data
     return parts.join(offset, "_p").withColumn(name, local + F.col("_base")).drop("_p", "_base")
 
 
+#: Rows that a plain limit may gather in one task.
+GATHER = 100_000
+
+
+def first_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
+    """The first ``n`` rows in a total order. More than GATHER of them are cut by global rank, so no task gathers them."""
+    if n <= GATHER:
+        return df.orderBy(*order).limit(n)
+    return global_rank(df, order, "_rank").where(F.col("_rank") <= n).drop("_rank")
+
+
 def top_per_group(df: DataFrame, group: str, order: Sequence[str | Column], n: int | Column) -> DataFrame:
     """The first ``n`` rows of each group by ``order``. Up to a constant n of 1,000, Spark limits the groups before the
     shuffle; above it, the rows of a group are first cut in 32 salted parts, so a hot group isn't sorted by one task."""
@@ -67,16 +78,61 @@ def allocate(groups: DataFrame, key: str, weight: str, total: int) -> DataFrame:
     exact = F.lit(total) * F.col(weight) / F.lit(whole)
     base = groups.select(key, F.floor(exact).alias("_f"), (exact - F.floor(exact)).alias("_rest"))
     short = total - (base.agg(F.sum("_f")).first()[0] or 0)
-    extra = base.orderBy(F.desc("_rest"), key).limit(int(short)).select(key, F.lit(1).alias("_x"))
+    extra = first_rows(base.withColumn("_less", -F.col("_rest")), ["_less", key], int(short)).select(key, F.lit(1).alias("_x"))
     return base.join(extra, key, "left").select(key, (F.col("_f") + F.coalesce("_x", F.lit(0))).cast("bigint").alias("quota"))
 
 
-def round_robin_cap(df: DataFrame, unit: str, order: Sequence[str], cap: int, target: int) -> DataFrame:
+def requested_units(requested: Sequence[str], available: DataFrame, unit: str) -> DataFrame:
+    """(pos, unit): the distinct requested units in the order asked for; one that isn't available is an error."""
+    order = list(dict.fromkeys(requested))
+    want = available.sparkSession.createDataFrame([(i, u) for i, u in enumerate(order)], f"pos int, {unit} string")
+    unknown = want.join(available.select(unit).distinct(), unit, "left_anti").select(unit).limit(20).collect()
+    if unknown:
+        raise ValueError("unknown units: " + ", ".join(sorted(r[0] for r in unknown)))
+    return want
+
+
+def unit_caps(units: DataFrame, unit: str, every: int, caps: Mapping[str, int]) -> DataFrame:
+    """``units`` with ``cap``: the unit's own cap, the one for all where that is less or there is none."""
+    if every <= 0 or any(n <= 0 for n in caps.values()):
+        raise ValueError("caps must be positive")
+    own = units.sparkSession.createDataFrame(list(caps.items()), f"{unit} string, _cap int")
+    return units.join(own, unit, "left").withColumn("cap", F.least(F.lit(every), F.coalesce("_cap", F.lit(every)))).drop("_cap")
+
+
+def scan_report(df: DataFrame, unit: str, order: Sequence[str], target: int) -> DataFrame:
+    """(unit, offered, within_cap, emitted, truncated) of a round-robin scan over ``df``, which has a ``cap`` on each row:
+    how many rows of a unit there are, lie within its cap, are emitted before ``target`` is reached, and whether
+    rows were left."""
+    rank = F.row_number().over(Window.partitionBy(unit).orderBy(*order))
+    within = df.withColumn("_r", rank).where(F.col("_r") <= F.col("cap"))
+    count = lambda part, name: part.groupBy(unit).agg(F.count("*").alias(name))
+    out = count(df, "offered").join(count(within, "within_cap"), unit, "left").join(count(first_rows(within, order, target), "emitted"), unit, "left")
+    n = lambda c: F.coalesce(c, F.lit(0))
+    return out.select(unit, "offered", n("within_cap").alias("within_cap"), n("emitted").alias("emitted"), (F.col("offered") > n("emitted")).alias("truncated"))
+
+
+def pilot(df: DataFrame, category: str, counts: Mapping[str, int], order: Sequence[str], name: str = "pilot_id") -> DataFrame:
+    """The first rows of each category, as many as ``counts`` says, with ids from 1 in ``order``. Too few rows of a
+    category are an error."""
+    have = {r[0]: r["n"] for r in df.where(F.col(category).isin(*counts)).groupBy(category).agg(F.count("*").alias("n")).collect()}  # a row per asked category
+    short = {c: n - have.get(c, 0) for c, n in counts.items() if have.get(c, 0) < n}
+    if short:
+        raise ValueError(f"too few rows: {short}")
+    want = F.broadcast(df.sparkSession.createDataFrame(list(counts.items()), f"{category} string, _most int"))  # the asked categories
+    some = top_per_group(df.where(F.col(category).isin(*counts)), category, order, max(counts.values()))
+    rank = F.row_number().over(Window.partitionBy(category).orderBy(*order))
+    chosen = some.withColumn("_r", rank).join(want, category).where(F.col("_r") <= F.col("_most")).drop("_r", "_most")
+    return global_rank(chosen, order, name)
+
+
+def round_robin_cap(df: DataFrame, unit: str, order: Sequence[str], cap: int | Column, target: int) -> DataFrame:
     """What a round-robin scan of one shard per unit and round would emit: each unit's first ``cap`` rows in scan order,
-    then the first ``target`` of all. ``order``'s columns are the scan order."""
-    if cap <= 0 or target <= 0:
+    then the first ``target`` of all. ``order``'s columns are the scan order; ``cap`` is a number or a column that is the
+    same for all rows of a unit, as from :func:`unit_caps`."""
+    if target <= 0 or (isinstance(cap, int) and cap <= 0):
         raise ValueError("cap and target must be positive")
-    return top_per_group(df, unit, order, cap).orderBy(*order).limit(target)
+    return first_rows(top_per_group(df, unit, order, cap), order, target)
 
 
 def shard_order(df: DataFrame, seed: str, unit: str, shard: str, offset: int = 0, most: int | None = None) -> DataFrame:
@@ -96,10 +152,10 @@ def _accept(pool: DataFrame, order: Sequence[str], object_col: str, object_cap:
         ok = top_per_group(ok, inst_col, order, inst_cap)
         rank = F.row_number().over(Window.partitionBy(inst_col).orderBy(*order))
         ok = ok.join(taken_inst, inst_col, "left").withColumn("_i", rank).where(F.col("_i") + F.coalesce("_ni", F.lit(0)) <= inst_cap).drop("_i", "_ni")
-    return ok.orderBy(*order).limit(quota)
+    return first_rows(ok, order, quota)
 
 
-def greedy_quotas(df: DataFrame, category: str, quotas: Mapping[str, int], order: Sequence[str], object_col: str, object_cap: int, inst_col: str | None = None, inst_cap: int = 0) -> DataFrame:
+def greedy_quotas(df: DataFrame, category: str, quotas: Mapping[str, int], order: Sequence[str], object_col: str, object_cap: int, inst_col: str | None = None, inst_cap: int = 0, fill: bool = False) -> DataFrame:
     """Greedy selection, category by category in the order of ``quotas``: rows in ``order``, at most ``object_cap`` of an
     object and ``inst_cap`` of an institution over all categories, up to the category's quota.
 
@@ -107,6 +163,7 @@ def greedy_quotas(df: DataFrame, category: str, quotas: Mapping[str, int], order
     institution; :func:`one_institution` tells. Where it has several, the category's rows run through the loop in
     stretches of 200,000, which bounds the rows of a task. Accepted rows are written between the categories, and the
     counts carried are aggregates of them. Categories without a quota are left out; a category that ``df`` lacks gives no rows.
+    With ``fill``, a quota that can't be filled is an error.
     """
     exact = inst_col is None or one_institution(df, object_col, inst_col)
     spark = df.sparkSession
@@ -120,6 +177,8 @@ def greedy_quotas(df: DataFrame, category: str, quotas: Mapping[str, int], order
         else:
             part = _sequential(pool, order, object_col, object_cap, no, inst_col, inst_cap, ni, quota)
         done.append(cut(part, "accepted"))
+        if fill and (got := done[-1].count()) < quota:
+            raise ValueError(f"{name} has {got} of {quota} rows")
         every = done[0].select(object_col, *([inst_col] if inst_col else []))
         for d in done[1:]:
             every = every.unionByName(d.select(*every.columns))
@@ -205,4 +264,4 @@ def best_exclusive(df: DataFrame, group: str, score: str, object_col: str, id_co
 
 def hash_sample(df: DataFrame, seed: str, id_col: str, n: int) -> DataFrame:
     """``n`` rows in the order of a seeded hash: the same rows whatever the partitioning."""
-    return df.orderBy(F.sha2(F.concat(F.lit(seed), F.col(id_col).cast("string")), 256), id_col).limit(n)
+    return first_rows(df.withColumn("_hash", F.sha2(F.concat(F.lit(seed), F.col(id_col).cast("string")), 256)), ["_hash", id_col], n).drop("_hash")

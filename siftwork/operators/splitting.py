@@ -9,9 +9,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siftwork.session import cut
+
 SPLITS = ("train", "validation", "test")
-#: Objects of a category that one task deals out. A larger category is dealt in chunks of its hash order, each to its own
-#: share of the targets.
+#: Objects of a category that one task deals out. A larger category is dealt chunk by chunk in its hash order, and what each
+#: split holds is carried on, so the result doesn't depend on it.
 CHUNK = 1_000_000
 
 
@@ -31,16 +33,18 @@ def assign_object_splits(df: DataFrame, object_col: str, category: str, seed: st
     if not df.where(F.coalesce(F.col(object_col).cast("string"), F.lit("")) == "").isEmpty():
         raise ValueError("every row must have an object")
     prime = primary_category(df, object_col, category, default).withColumn("_rank", F.sha2(F.concat_ws(":", F.lit(seed), category, F.col(object_col).cast("string")), 256))
-    counts = prime.groupBy(category).agg(F.ceil(F.count("*") / F.lit(CHUNK)).alias("_chunks"))
-    prime = prime.join(F.broadcast(counts) if counts.limit(100_001).count() <= 100_000 else counts, category)
-    slot = F.floor(F.conv(F.left("_rank", F.lit(8)), 16, 10).cast("bigint") * F.col("_chunks") / F.lit(2**32)).alias("_slot")
+    counts = prime.groupBy(category).agg(F.ceil(F.count("*") / F.lit(CHUNK)).alias("_chunks"), F.sum("size").alias("_total"))
+    few = counts.limit(100_001).count() <= 100_000
+    prime = prime.join(F.broadcast(counts) if few else counts, category)
+    prime = prime.withColumn("_slot", F.floor(F.conv(F.left("_rank", F.lit(8)), 16, 10).cast("bigint") * F.col("_chunks") / F.lit(2**32)))
     kind = df.schema[object_col].dataType.simpleString()
+    held = [f"_h{i}" for i in range(len(names))]
 
     def deal(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_rank")
-        total = int(pdf["size"].sum())
+        total = int(pdf["_total"].iloc[0])
         target = [r * total for r in ratios]
-        given = [0] * len(names)
+        given = [int(pdf[h].iloc[0]) for h in held]
         out = []
         for n in pdf["size"]:
             lack = [t - g for t, g in zip(target, given)]
@@ -49,7 +53,24 @@ def assign_object_splits(df: DataFrame, object_col: str, category: str, seed: st
             out.append(names[k])
         return pdf[[object_col, category, "size"]].assign(split=out)
 
-    return prime.select(object_col, category, "size", "_rank", slot).groupBy(category, "_slot").applyInPandas(deal, f"{object_col} {kind}, {category} string, size bigint, split string")
+    def step(part: DataFrame) -> DataFrame:
+        return part.select(object_col, category, "size", "_rank", "_total", *held).groupBy(category).applyInPandas(deal, f"{object_col} {kind}, {category} string, size bigint, split string")
+
+    most = prime.agg(F.max("_chunks")).first()[0] or 1
+    if most == 1:
+        return step(prime.withColumns(dict.fromkeys(held, F.lit(0))))
+    prime = cut(prime, "objects")
+    out: DataFrame | None = None
+    for k in range(most):
+        part = prime.where(F.col("_slot") == k)
+        if out is None:
+            part = part.withColumns(dict.fromkeys(held, F.lit(0)))
+        else:
+            loads = out.groupBy(category).agg(*[F.coalesce(F.sum(F.when(F.col("split") == n, F.col("size"))), F.lit(0)).alias(h) for n, h in zip(names, held)])
+            part = part.join(F.broadcast(loads) if few else loads, category, "left").na.fill(0, held)
+        done = cut(step(part), "dealt")
+        out = done if out is None else out.unionByName(done)
+    return out
 
 
 def split_counts(rows: DataFrame, object_col: str = "object_id", split: str = "split") -> DataFrame:

@@ -22,6 +22,7 @@ SPACE_RE2 = r"[\s\x{0b}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{2
 HOST = "ids.museum.example"
 
 #: Example rules of the queries below; the operators take any.
+ID_LIKE = r"(?i)(?U)^(?:object|item|specimen|record)\s*[-#:]*\s*\d+$"
 REVIEW = ("fire", "flood", "c. 1664", "horn")
 GROUPS = (("ceramics", ("bowl", "vase", "tile", "plate")), ("engines", ("engine", "pump", "valve")), ("paper", ("letter", "ledger", "stamp", "print")))
 CATEGORIES = ("archaeology", "space_aviation", "science_technology", "historical_objects", "coins_stamps_documents", "other_objects", "decorative_arts_design", "art", "natural_history")
@@ -50,7 +51,7 @@ def _decided(spark: SparkSession, d: str) -> DataFrame:
     hard = [
         [decide.Rule("NOT_OPEN", ~F.coalesce(F.col("metadata_rights") == "CC0", F.lit(False))), decide.Rule("NOT_OPEN_MEDIA", ~F.coalesce(F.col("media_rights") == "CC0", F.lit(False)))],
         [decide.Rule(f"MISSING_{c.upper()}", ~X.present(c)) for c in ("object_id", "media_id", "source_url")],
-        [decide.Rule("LOW_TEXT_QUALITY", decide.useful_fields(("title", "description", "object_type", "date", "topics", "creator", "place"), "title", ("untitled", "unknown")) < 2)],
+        [decide.Rule("LOW_TEXT_QUALITY", decide.useful_fields(("title", "description", "object_type", "date", "topics", "creator", "place"), "title", ("untitled", "unknown"), ID_LIKE) < 2)],
     ]
     soft = [decide.Rule("TERM_REVIEW", X.contains_term(F.concat_ws(" ", "title", "description"), REVIEW))]
     category = decide.decision_list([(decide.keyword_rule(("title", "object_type", "topics"), words), name) for name, words in GROUPS], "other")

@@ -30,16 +30,18 @@ def test_terms_are_whole_words_and_keywords_are_not(spark):
     assert run(spark, ["x"], X.contains_term("c", ["", " "])) == [False]
 
 
-def test_truncate_words(spark):
-    def plain(t, n):
-        if len(t) <= n:
-            return t
-        c = t[: max(0, n - 1)].rstrip()
-        return (c.rsplit(" ", 1)[0].rstrip(" ;,.") if " " in c else c) + "…"
-
-    values = ["one two three", "abcdefghij", "a, b; c. d e f", "x", "é" * 20, "one  two"]
-    for n in (4, 7, 9):
-        assert run(spark, values[:5], X.truncate_words("c", n)) == [plain(t, n) for t in values[:5]]
+@pytest.mark.parametrize(
+    "limit, want",
+    [
+        (4, ["one…", "abc…", "a,…", "x", "ééé…"]),
+        (7, ["one…", "abcdef…", "a…", "x", "éééééé…"]),
+        (9, ["one…", "abcdefgh…", "a, b…", "x", "éééééééé…"]),
+        (13, ["one two three", "abcdefghij", "a, b; c. d…", "x", "éééééééééééé…"]),
+    ],
+)
+def test_truncate_words(spark, limit, want):
+    values = ["one two three", "abcdefghij", "a, b; c. d e f", "x", "é" * 20]
+    assert run(spark, values, X.truncate_words("c", limit)) == want
 
 
 def test_model_text(spark):

@@ -16,7 +16,7 @@ def test_staged_reasons_and_status(spark):
 
 def test_useful_fields_and_titles(spark):
     df = spark.createDataFrame([("Untitled", "d"), ("Specimen #12", "d"), ("Bowl", None), (None, None)], "title string, description string").repartition(1)
-    assert [r[0] for r in df.select(decide.useful_fields(("title", "description"), "title", ("untitled",))).collect()] == [1, 1, 1, 0]
+    assert [r[0] for r in df.select(decide.useful_fields(("title", "description"), "title", ("untitled",), r"(?i)^(?:object|item|specimen|record)\s*[-#:]*\s*\d+$")).collect()] == [1, 1, 1, 0]
 
 
 def test_decision_list_takes_the_first(spark):
@@ -137,11 +137,53 @@ def test_object_splits(spark):
         splitting.assign_object_splits(df.union(spark.createDataFrame([(None, "x")], df.schema)), "o", "c", "s")
 
 
-def test_split_chunks_keep_the_shares(spark, monkeypatch):
-    monkeypatch.setattr(splitting, "CHUNK", 100)
-    df = spark.range(1000).select(F.col("id").cast("string").alias("o"), F.lit("c").alias("c"))
-    n = {r.split: r["count"] for r in splitting.assign_object_splits(df, "o", "c", "s").groupBy("split").count().collect()}
-    assert abs(n["train"] - 800) < 25 and sum(n.values()) == 1000
+def test_split_chunks_change_nothing(spark, monkeypatch):
+    r = random.Random(3)
+    rows = [(f"o{i}", r.choice("abb"), r.randrange(4)) for i in range(700) for _ in range(r.randrange(1, 4))]
+    df = spark.createDataFrame(rows, "o string, c string, x int")
+    want = sorted(splitting.assign_object_splits(df, "o", "c", "s").collect())
+    monkeypatch.setattr(splitting, "CHUNK", 90)
+    assert sorted(splitting.assign_object_splits(df, "o", "c", "s").collect()) == want
+
+
+def test_percentiles_equal_numpy(spark):
+    import numpy as np
+
+    r = random.Random(6)
+    values = [r.choice([0.0, 5.0, r.uniform(-9, 9)]) for _ in range(501)]
+    df = spark.createDataFrame([(x,) for x in values] + [(None,)], "x double")
+    parts = (0.0, 0.1, 0.5, 0.95, 1.0)
+    assert np.allclose(profile.percentiles(df, "x", parts), np.quantile(values, parts))
+    assert profile.percentiles(df.where("false"), "x", parts) == [None] * 5
+    assert tuple(profile.summary(df.where("false"), "x").first()) == (0, None, None, None, None, None)
+
+
+def test_first_rows_beyond_one_task(spark, monkeypatch):
+    df = spark.range(3000).select(((F.col("id") * 7919) % 3000).alias("x")).repartition(5)
+    monkeypatch.setattr(sampling, "GATHER", 10)
+    assert sorted(r.x for r in sampling.first_rows(df, ["x"], 1200).collect()) == list(range(1200))
+    assert len(sampling.hash_sample(df, "s", "x", 50).collect()) == 50
+
+
+def test_units_caps_and_pilot(spark):
+    df = spark.createDataFrame([(i, "abc"[i % 3], f"{i * 37 % 100:02d}") for i in range(90)], "id long, u string, h string")
+    assert [tuple(r) for r in sampling.requested_units(["c", "a", "c"], df, "u").orderBy("pos").collect()] == [(0, "c"), (1, "a")]
+    with pytest.raises(ValueError, match="unknown units: z"):
+        sampling.requested_units(["a", "z"], df, "u")
+    capped = sampling.unit_caps(df, "u", 20, {"a": 5, "b": 50})
+    assert {(r.u, r.cap) for r in capped.select("u", "cap").distinct().collect()} == {("a", 5), ("b", 20), ("c", 20)}
+    with pytest.raises(ValueError):
+        sampling.unit_caps(df, "u", 20, {"a": 0})
+    got = sampling.round_robin_cap(capped, "u", ["id"], F.col("cap"), 30)
+    told = {r.u: tuple(r)[1:] for r in sampling.scan_report(capped, "u", ["id"], 30).collect()}
+    emitted = {r.u: r["count"] for r in got.groupBy("u").count().collect()}
+    assert emitted == {u: t[2] for u, t in told.items()} and sum(emitted.values()) == 30 and told["a"] == (30, 5, 5, True)
+    out = sampling.pilot(df, "u", {"a": 3, "b": 2}, ["h", "id"]).orderBy("pilot_id").collect()
+    assert [r.pilot_id for r in out] == [1, 2, 3, 4, 5] and [r.h for r in out] == sorted(r.h for r in out)
+    with pytest.raises(ValueError):
+        sampling.pilot(df, "u", {"a": 31}, ["h", "id"])
+    with pytest.raises(ValueError):
+        sampling.greedy_quotas(df, "u", {"a": 31}, ["h", "id"], "id", 2, fill=True)
 
 
 def test_primary_category_ties(spark):

@@ -67,6 +67,30 @@ def normalize_jpeg(content: bytes, most: int = 512, least: int = 256, quality: i
     return {"data": data, "width": img.size[0], "height": img.size[1], "sha256": hashlib.sha256(data).hexdigest(), "phash": grey, "final_bytes": len(data)}
 
 
+NORMALIZED = "status string, error string, data binary, width int, height int, sha256 string, phash string, final_bytes bigint"
+
+
+def normalize_images(df: DataFrame, id_col: str = "image_id", content: str = "content", most: int = 512, least: int = 256, quality: int = 84) -> DataFrame:
+    """(id, status, error, data, width, height, sha256, phash, final_bytes): :func:`normalize_jpeg` for each row; an image
+    that can't be read or is too small is a failure with its error. Needs Pillow on the executors."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for key, raw in zip(b[id_col], b[content]):
+                try:
+                    x = normalize_jpeg(bytes(raw or b""), most, least, quality)
+                    rows.append((key, "success", None, x["data"], x["width"], x["height"], x["sha256"], x["phash"], x["final_bytes"]))
+                except ImportError:
+                    raise
+                except Exception as e:  # noqa: BLE001 - whatever a broken image raises
+                    rows.append((key, "failed", f"{type(e).__name__}: {e}"[:200], None, None, None, None, None, None))
+            frame = pd.DataFrame(rows, columns=[id_col, *(c.split(" ")[0] for c in NORMALIZED.split(", "))])
+            yield frame.astype({"width": "Int64", "height": "Int64", "final_bytes": "Int64"})
+
+    return df.select(id_col, content).mapInPandas(run, f"{id_col} {df.schema[id_col].dataType.simpleString()}, {NORMALIZED}")
+
+
 # HTTP answers after which another attempt is made.
 RETRYABLE = (408, 425, 429, 500, 502, 503, 504)
 

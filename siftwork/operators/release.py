@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siftwork.functions.keys import norm_key
 from siftwork.functions.text import present
 
 CONTROL_FILES = ("checksums.sha256", "release_manifest.json")
@@ -37,6 +38,14 @@ def unresolved(wanted: DataFrame, log: DataFrame, key: str, order: Sequence[str]
     return wanted.join(done, key, "left_anti")
 
 
+def valid_success(attempts: DataFrame, files: DataFrame, success: Column, path: str = "file_name", size: str = "final_bytes") -> DataFrame:
+    """Rows of ``attempts`` that are done: a success whose file is in ``files`` (path, length), with the expected size where
+    one is known. A log alone doesn't tell whether its files are still there."""
+    listed = files.select(F.col("path").alias("_path"), F.col("length").alias("_length"))
+    there = attempts.where(F.coalesce(success, F.lit(False))).join(listed, F.col(path) == F.col("_path"))
+    return there.where(F.col(size).isNull() | (F.col(size) == F.col("_length"))).select(*attempts.columns).distinct()
+
+
 def completion(wanted: DataFrame, log: DataFrame, key: str, order: Sequence[str], success: Column) -> DataFrame:
     """(state, n): complete, failed and pending keys."""
     state = latest(log, key, order).select(key, F.when(F.coalesce(success, F.lit(False)), "complete").otherwise("failed").alias("state"))
@@ -56,6 +65,38 @@ def reuse_split(selected: DataFrame, previous: DataFrame, columns: Sequence[str]
     return with_key.join(old, names, "left_semi").drop(*names), with_key.join(old, names, "left_anti").drop(*names)
 
 
+def verified_reuse(selected: DataFrame, previous: DataFrame, columns: Sequence[str], sha: str) -> DataFrame:
+    """``selected`` with ``verdict``: reuse where an earlier row of the same identity has the same checksum, mismatch where
+    it has another one only, fetch where there is none. Checksums are compared without letter case and blanks."""
+    names = [f"_k{i}" for i in range(len(columns))]
+    old = previous.select(*identity(columns), norm_key(sha).alias("_old")).distinct()
+    known = old.select(*names).distinct().withColumn("_known", F.lit(True))
+    same = old.where("_old IS NOT NULL").withColumn("_same", F.lit(True))
+    keyed = selected.select("*", *identity(columns), norm_key(sha).alias("_old"))
+    verdict = F.when(F.col("_same"), "reuse").when(F.col("_known"), "mismatch").otherwise("fetch")
+    return keyed.join(same, [*names, "_old"], "left").join(known, names, "left").withColumn("verdict", verdict).drop(*names, "_old", "_same", "_known")
+
+
+def matching_resources(files: DataFrame, live: DataFrame, owner: str, path: str, changed: str) -> DataFrame:
+    """(owner, changed) of the newest owner whose set of paths is exactly that of ``live``; ties to the lesser owner. Sets
+    are compared by counts of their distinct members."""
+    want = live.select(path).distinct()
+    n = want.count()
+    own = files.groupBy(owner, path).agg(F.max(changed).alias(changed)).join(want.withColumn("_hit", F.lit(1)), path, "left")
+    per = own.groupBy(owner).agg(F.count("*").alias("_all"), F.count("_hit").alias("_hits"), F.max(changed).alias(changed))
+    return per.where((F.col("_all") == n) & (F.col("_hits") == n)).orderBy(F.desc(changed), owner).limit(1).select(owner, changed)
+
+
+def latest_ready(versions: DataFrame, key: str, version: str, ready: Column) -> DataFrame:
+    """(key, version): the highest version that is ready."""
+    return versions.where(F.coalesce(ready, F.lit(False))).groupBy(key).agg(F.max(version).alias(version))
+
+
+def description_coverage(described: DataFrame) -> DataFrame:
+    """(table, columns, present, exact) of :func:`described_columns` for each table, and for all under a null name."""
+    return described.groupBy("table", "pos").agg(F.bool_or("present").alias("p"), F.bool_or("exact").alias("e")).rollup("table").agg(F.count("*").alias("columns"), F.count_if("p").alias("present"), F.count_if("e").alias("exact"))
+
+
 def not_subset(part: DataFrame, whole: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Identities of ``part`` that ``whole`` lacks; empty for a subset."""
     names = [f"_k{i}" for i in range(len(columns))]

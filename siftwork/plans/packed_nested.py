@@ -99,6 +99,9 @@ def _scalar(x: str) -> str:
     return f"CASE WHEN json_type({_obj(x)}) IN ('OBJECT', 'ARRAY', 'NULL') THEN NULL ELSE ({x}) ->> '$' END"
 
 
+FREETEXT_LABELS = f"""WITH {_RECORDS}, a AS ({_groups("c -> '$.freetext'", "freetext")}), e AS (SELECT name, {_obj("item")} AS item FROM (SELECT name, unnest(items) AS item FROM a))
+ SELECT name, CASE WHEN json_type(item) = 'OBJECT' THEN item ->> '$.label' END AS l FROM e WHERE item IS NOT NULL AND json_type(item) <> 'NULL'"""
+
 _FIELDS = f"""WITH {_RECORDS}
  SELECT line_id, {_scalar("j -> '$.id'")} AS record_id, {_scalar("j -> '$.unitCode'")} AS unit_code, {_scalar("j -> '$.title'")} AS title, {_scalar("j -> '$.type'")} AS type,
   {_scalar("x -> '$.record_ID'")} AS object_id, {_scalar("x -> '$.data_source'")} AS data_source, {_scalar(_obj("x -> '$.metadata_usage'") + " -> '$.access'")} AS metadata_access

@@ -54,14 +54,36 @@ def log_latest(spark: SparkSession, path: str, schema: T.StructType | str, key:
     return latest(ndjson(spark, path, schema, strict=True), key, order)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def report(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON report of several lines; a missing file gives an empty table."""
-    from pyspark.errors import AnalysisException
+    """A JSON report of several lines; a missing file gives an empty table, any other fault is an error."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], T.StructType())
+    return spark.read.option("multiLine", True).json(path)
+
 
+def config(spark: SparkSession, path: str) -> dict:
+    """A small configuration file as a dictionary: JSON, or YAML where its parser is installed."""
+    import json
+
+    text = "\n".join(r[0] for r in spark.read.option("wholetext", True).text(path).collect())  # one small file
+    if not path.rstrip("/").endswith((".yaml", ".yml")):
+        return json.loads(text)
     try:
-        return spark.read.option("multiLine", True).json(path)
-    except AnalysisException:
-        return spark.createDataFrame([], "value string")
+        import yaml
+    except ImportError as e:
+        raise ValueError("YAML needs a parser that isn't installed") from e
+    return yaml.safe_load(text)
+
+
+def line_counts(spark: SparkSession, path: str, header: bool = False) -> DataFrame:
+    """(lines): lines of text files that aren't blank, a header of each file not counted."""
+    per = spark.read.text(path).where(F.trim("value") != "").groupBy(F.input_file_name().alias("file")).agg(F.count("*").alias("n"))
+    return per.agg(F.coalesce(F.sum(F.col("n") - int(header)), F.lit(0)).alias("lines"))
 
 
 def binary_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:

@@ -57,6 +57,43 @@ def report(values: dict, path: str) -> None:
     os.replace(partial, path)
 
 
+def promote(tables: dict[str, DataFrame], target: str, replace: bool = False) -> dict[str, str]:
+    """Write a set of tables so that all of them appear or none: each is written as ``<name>.partial`` and only then all
+    are moved to their places; where a move fails, those made are undone and what stood there is put back. Refuses to
+    overwrite unless ``replace`` is set."""
+    spark = next(iter(tables.values())).sparkSession
+    jvm = spark.sparkContext._jvm
+    at = lambda name: jvm.org.apache.hadoop.fs.Path(f"{target}/{name}")
+    fs = at("x").getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    taken = [n for n in tables if fs.exists(at(n))]
+    if taken and not replace:
+        raise ValueError(f"already there: {taken}")
+    done: list[tuple[str, str]] = []
+
+    def move(a: str, b: str) -> None:
+        if not fs.rename(at(a), at(b)):
+            raise OSError(f"can't move {a} to {b}")
+        done.append((a, b))
+
+    try:
+        for name, df in tables.items():
+            zstd_parquet(df, f"{target}/{name}.partial", "overwrite")
+        for name in taken:
+            fs.delete(at(name + ".old"), True)
+            move(name, name + ".old")
+        for name in tables:
+            move(name + ".partial", name)
+    except Exception:
+        for a, b in reversed(done):
+            fs.rename(at(b), at(a))
+        for name in tables:
+            fs.delete(at(name + ".partial"), True)
+        raise
+    for name in taken:
+        fs.delete(at(name + ".old"), True)
+    return {name: f"{target}/{name}" for name in tables}
+
+
 def link_files(paths: DataFrame, source: str, target: str) -> DataFrame:
     """(path, how): each file linked into ``target``, or copied where a link can't be made; runs on the executors, over a
     folder they share."""

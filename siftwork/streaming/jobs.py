@@ -35,3 +35,12 @@ def run_once(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoi
     query = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True).start()
     query.awaitTermination()
     return query
+
+
+def observed(df: DataFrame, sink: Callable[[DataFrame], None], **metrics) -> dict:
+    """Pass ``df`` to ``sink`` and return aggregates of the rows that went through, taken in the same pass."""
+    from pyspark.sql import Observation
+
+    seen = Observation()
+    sink(df.observe(seen, *[c.alias(name) for name, c in metrics.items()]))
+    return seen.get

@@ -11,6 +11,7 @@ from siftwork.functions import text as X
 from siftwork.functions import values as V
 from siftwork.functions.keys import norm_key
 from siftwork.operators import decide, dedup, flatten, images, profile, release, sampling, search, splitting, validate
+from siftwork.plans import flat_sql
 from siftwork.plans.registry import Registry, table
 from siftwork.session import shared_dir
 from siftwork.sources import readers, writers
@@ -133,6 +134,12 @@ def clean_titles(spark, d):
     return meta(spark, d).select("image_id", X.clean_text("title", "basic").alias("title"), X.clean_text("description", "basic").alias("description"))
 
 
+@R.query(f"SELECT image_id, {_sql_clean('title')} AS title FROM {META}")
+def decoded_titles(spark, d):
+    """With every HTML entity decoded; the tables hold no others than the five."""
+    return meta(spark, d).select("image_id", X.clean_text("title").alias("title"))
+
+
 @R.query(f"SELECT image_id, {_sql_cut('t', 60)} AS short FROM (SELECT image_id, {_sql_strip('description')} AS t FROM {META})")
 def truncated_texts(spark, d):
     return meta(spark, d).select("image_id", X.truncate_words(X.strip_ends("description"), 60).alias("short"))
@@ -597,9 +604,10 @@ def validator_report(spark, d):
     return validate.run_checks(meta(spark, d), checks)
 
 
-@R.query("""SELECT 'VECTOR_WIDTH' AS code, CAST(count(*) FILTER (len(embedding) <> 64) AS DOUBLE) AS observed, count(*) FILTER (len(embedding) <> 64) = 0 AS passed FROM embeddings UNION ALL SELECT 'VECTOR_NOT_FINITE', 0.0, true""")
+@R.query("""SELECT 'VECTOR_WIDTH' AS code, CAST(count(*) FILTER (len(embedding) <> 64) AS DOUBLE) AS observed, count(*) FILTER (len(embedding) <> 64) = 0 AS passed FROM embeddings UNION ALL SELECT 'VECTOR_NOT_FINITE', 0.0, true
+ UNION ALL SELECT 'VECTOR_NORM', round(max(abs(sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))) - 1)), 5), max(abs(sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))) - 1)) <= 0.01 FROM embeddings""")
 def vector_report(spark, d):
-    return validate.run_checks(table(spark, d, "embeddings"), validate.vector_checks("embedding", 64)).where("code <> 'VECTOR_NORM'")
+    return validate.run_checks(table(spark, d, "embeddings"), validate.vector_checks("embedding", 64)).withColumn("observed", F.round("observed", 5))
 
 
 # --- vectors ---------------------------------------------------------------------------------------------------------
@@ -632,29 +640,43 @@ def cosine_top_k(spark, d):
     return search.top_k_many(e, e.where("vec_id % 50 = 0"), 10).select("query_id", "vec_id", F.round("score", 6).alias("score"))
 
 
-@R.query(f"SELECT label, vec_id FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY score DESC, vec_id) AS r FROM {_COS}) WHERE r = 1 AND label < 8")
+#: Vectors with one such key show one object.
+_OBJECT = "vec_id // 5"
+
+
+@R.query(f"""WITH RECURSIVE c AS MATERIALIZED (SELECT vec_id, label, {_OBJECT} AS o, score FROM {_COS}), n AS (SELECT label, row_number() OVER (ORDER BY label) AS k FROM (SELECT DISTINCT label FROM c WHERE label IS NOT NULL)),
+ s(k, label, vec_id, used) AS (SELECT CAST(0 AS BIGINT), CAST(NULL AS INTEGER), CAST(NULL AS BIGINT), CAST([] AS BIGINT[])
+  UNION ALL SELECT k, label, r.v, CASE WHEN r IS NULL THEN used ELSE list_append(used, r.o) END FROM (SELECT s.k + 1 AS k, n.label, s.used, arg_min({{'v': c.vec_id, 'o': c.o}}, {{'s': -c.score, 'v': c.vec_id}}) FILTER (NOT list_contains(s.used, c.o)) AS r FROM s JOIN n ON n.k = s.k + 1 JOIN c ON c.label = n.label GROUP BY 1, 2, 3))
+ SELECT label, vec_id FROM s WHERE vec_id IS NOT NULL""")
 def best_per_label(spark, d):
     e = table(spark, d, "embeddings")
     q = V.l2_normalize(F.array(*[F.lit(float(x)) for x in _query_vector(spark, d)]))
-    scored = e.select("vec_id", "label", V.dot(V.l2_normalize("embedding"), q).alias("score"), F.col("vec_id").alias("object"))
-    return sampling.best_exclusive(scored, "label", "score", "object", "vec_id", range(8)).select("label", "vec_id")
+    scored = e.select("vec_id", "label", V.dot(V.l2_normalize("embedding"), q).alias("score"), F.expr("vec_id div 5").alias("object"))
+    labels = [r[0] for r in e.where("label IS NOT NULL").select("label").distinct().orderBy("label").limit(10_000).collect()]  # a step for each
+    return sampling.best_exclusive(scored, "label", "score", "object", "vec_id", labels).select("label", "vec_id")
 
 
 # --- nested records --------------------------------------------------------------------------------------------------
 
 
-@R.query()
+@R.query(flat_sql.CANDIDATES)
 def flat_candidates(spark, d):
     return flatten.candidates(table(spark, d, "source_records"), host=HOST)
 
 
-@R.query()
+@R.query(flat_sql.identified(SEED))
 def identified_candidates(spark, d):
     flat = flatten.candidates(table(spark, d, "source_records"), host=HOST).dropDuplicates(["object_id", "media_id", "media_url"])
     return flatten.identify(flat, SEED).select("image_id", "file_name", "selection_hash", "object_id", "media_id", "media_url")
 
 
-@R.query()
+@R.query(f"SELECT line_id FROM source_records WHERE line_id IN (SELECT line_id FROM ({flat_sql.CANDIDATES}))")
+def preserved_lines(spark, d):
+    records = table(spark, d, "source_records")
+    return records.join(flatten.candidates(records).select("line_id").distinct(), "line_id", "left_semi").select("line_id")
+
+
+@R.query(f"SELECT CAST(to_json({{'source_unit': source_unit, 'source_shard_url': source_shard_url, 'record': record_json}}) AS VARCHAR) AS value FROM source_records WHERE line_id IN (SELECT line_id FROM ({flat_sql.CANDIDATES}))")
 def preserved_records(spark, d):
     records = table(spark, d, "source_records")
     return flatten.preserved_records(records, flatten.candidates(records))

@@ -165,6 +165,7 @@ def greedy_quotas(df: DataFrame, category: str, quotas: Mapping[str, int], order
     counts carried are aggregates of them. Categories without a quota are left out; a category that ``df`` lacks gives no rows.
     With ``fill``, a quota that can't be filled is an error.
     """
+    df = cut(df.where(F.col(category).isin(*quotas)), "pool")  # read once for each category
     exact = inst_col is None or one_institution(df, object_col, inst_col)
     spark = df.sparkSession
     done: list[DataFrame] = []
@@ -176,7 +177,7 @@ def greedy_quotas(df: DataFrame, category: str, quotas: Mapping[str, int], order
             part = _accept(pool, order, object_col, object_cap, no, inst_col, inst_cap, ni, quota)
         else:
             part = _sequential(pool, order, object_col, object_cap, no, inst_col, inst_cap, ni, quota)
-        done.append(cut(part, "accepted"))
+        done.append(cut(part, "accepted") if exact else part)  # the loop has written its rows
         if fill and (got := done[-1].count()) < quota:
             raise ValueError(f"{name} has {got} of {quota} rows")
         every = done[0].select(object_col, *([inst_col] if inst_col else []))

@@ -408,25 +408,23 @@ def round_robin_cap(spark, d):
     return sampling.round_robin_cap(rows.join(pos, ["source_unit", "source_shard_url"]), "source_unit", ["shard_pos", "source_unit", "line_id"], 20, 150).select("line_id")
 
 
-QUOTAS = {"archaeology": 40, "art": 60, "natural_history": 120, "historical_objects": 80}
+QUOTAS = dict(zip(CATEGORIES, (40, 25, 25, 80, 25, 30, 25, 60, 120)))
 
 
 def _greedy_sql(views: int, inst: int | None) -> str:
-    parts, prior = [f"base AS (SELECT image_id, category_code, coalesce(lower(trim(object_id)), '') AS o, coalesce(min(lower(trim(institution))) OVER (PARTITION BY coalesce(lower(trim(object_id)), '')), '') AS i, {_HASH_SQL} AS h FROM {META})"], []
-    for k, (name, quota) in enumerate(QUOTAS.items()):
-        taken = " UNION ALL ".join(f"SELECT o, i FROM c{j}" for j in prior) or "SELECT o, i FROM base WHERE false"
-        parts.append(f"t{k} AS ({taken})")
-        parts.append(f"a{k} AS (SELECT *, row_number() OVER (PARTITION BY o ORDER BY h, image_id) AS r FROM base WHERE category_code = '{name}')")
-        parts.append(f"b{k} AS (SELECT a.*, row_number() OVER (PARTITION BY a.i ORDER BY h, image_id) AS q FROM a{k} a LEFT JOIN (SELECT o, count(*) AS n FROM t{k} GROUP BY 1) t ON t.o = a.o WHERE r + coalesce(n, 0) <= {views})")
-        cap = f"WHERE q + coalesce(n, 0) <= {inst}" if inst else ""
-        parts.append(f"c{k} AS (SELECT b.image_id, b.category_code, b.o, b.i FROM b{k} b LEFT JOIN (SELECT i, count(*) AS n FROM t{k} GROUP BY 1) t ON t.i = b.i {cap} ORDER BY h, image_id LIMIT {quota})")
-        prior.append(k)
-    return "WITH " + ", ".join(f"{p.split(' AS ', 1)[0]} AS NOT MATERIALIZED {p.split(' AS ', 1)[1]}" for p in parts) + " " + " UNION ALL ".join(f"SELECT image_id, category_code FROM c{k}" for k in prior)
+    """The loop itself: one row after the other in the order of the categories, with the objects and institutions taken."""
+    quota = "(VALUES " + ", ".join(f"('{c}', {k}, {n})" for k, (c, n) in enumerate(QUOTAS.items(), 1)) + ") q(c, k, quota)"
+    room = f"AND len(list_filter(s.insts, lambda x: x = b.i)) < {inst}" if inst else ""
+    ok = f"(CASE WHEN b.k = s.k THEN s.got ELSE 0 END < b.quota AND len(list_filter(s.objs, lambda x: x = b.o)) < {views} {room})"
+    return f"""WITH RECURSIVE b AS MATERIALIZED (SELECT image_id, q.c, q.k, quota, o, i, row_number() OVER (ORDER BY q.k, h, image_id) AS n FROM (SELECT image_id, lower(trim(category_code)) AS c, coalesce(lower(trim(object_id)), '') AS o, coalesce(lower(trim(institution)), '') AS i, {_HASH_SQL} AS h FROM {META}) r JOIN {quota} ON q.c = r.c),
+ s(n, image_id, c, k, got, objs, insts) AS (SELECT CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), 0, 0, CAST([] AS VARCHAR[]), CAST([] AS VARCHAR[])
+  UNION ALL SELECT b.n, CASE WHEN {ok} THEN b.image_id END, b.c, b.k, CASE WHEN b.k = s.k THEN s.got ELSE 0 END + CAST({ok} AS INT), CASE WHEN {ok} THEN list_append(s.objs, b.o) ELSE s.objs END, CASE WHEN {ok} THEN list_append(s.insts, b.i) ELSE s.insts END FROM s JOIN b ON b.n = s.n + 1)
+ SELECT image_id, c AS category_code FROM s WHERE image_id IS NOT NULL"""
 
 
 def _selection(spark, d, inst: int | None):
-    rows = _ranked(spark, d).select("image_id", "category_code", F.coalesce(F.lower(F.trim("object_id")), F.lit("")).alias("o"), F.lower(F.trim("institution")).alias("u"), "h")
-    rows = rows.join(rows.groupBy("o").agg(F.coalesce(F.min("u"), F.lit("")).alias("i")), "o").select("image_id", "category_code", "o", "i", "h")
+    norm = lambda c: F.coalesce(F.lower(F.trim(c)), F.lit(""))
+    rows = _ranked(spark, d).select("image_id", F.lower(F.trim("category_code")).alias("category_code"), norm("object_id").alias("o"), norm("institution").alias("i"), "h")
     return sampling.greedy_quotas(rows, "category_code", QUOTAS, ["h", "image_id"], "o", 2, "i" if inst else None, inst or 0)
 
 

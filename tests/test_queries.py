@@ -6,6 +6,7 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 
@@ -43,10 +44,26 @@ def test_query_equals_sql(name, spark, con, tiny):
     assert rows(df.columns, [tuple(r) for r in df.collect()]) == rows(res.columns, res.fetchall())
 
 
-@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n not in SQL))
-def test_query_runs(name, spark, tiny):
-    df = QUERIES[name](spark, tiny)
-    assert df.columns and df.count() >= 0
+def test_terms_of_every_field(spark, tiny):
+    """p1_terms has a row for each non-empty field at least; p1_found those of fields with two or more terms."""
+    terms = QUERIES["p1_terms"](spark, tiny).collect()
+    some = {tuple(r) for r in QUERIES["p1_found"](spark, tiny).collect()}
+    size = {}
+    for r in terms:
+        size[r.image_id, r.field_name] = max(size.get((r.image_id, r.field_name), 0), r.pos)
+    assert len({(r.image_id, r.field_name, r.pos) for r in terms}) == len(terms) == sum(size.values())
+    assert some == {tuple(r) for r in terms if size[r.image_id, r.field_name] > 1}
+
+
+@pytest.mark.parametrize("name", ["freetext", "indexed_terms", "media", "resources"])
+def test_flat_tables_have_the_linked_rows(spark, tiny, name):
+    links = {(r.line_id, r.item_path): r for r in QUERIES["p5_links"](spark, tiny).where(F.col("table") == name).collect()}
+    rows = QUERIES[f"p5_{name}"](spark, tiny).collect()
+    assert len(rows) == len(links) > 0
+    for r in rows:
+        own = links[r.line_id, r.item_path]
+        parent = f"{r.line_id}:{own.parent_path}" if own.parent_path else str(r.line_id)
+        assert (r.key, r.parent_key, r.ordinal) == (f"{r.line_id}:{r.item_path}", parent, own.ordinal) and r.value
 
 
 def test_entry(spark):

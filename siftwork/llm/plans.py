@@ -104,6 +104,12 @@ _META = """(SELECT image_id, any_value(nullif(lower(trim(object_id)), '')) AS o,
 _P2 = f"""SELECT t.target_id FROM sample_targets t LEFT JOIN (SELECT 'category_code' AS f, category_code AS c, count(*) AS n FROM {_META} GROUP BY 2 UNION ALL SELECT 'institution', institution, count(*) FROM {_META} GROUP BY 2
  UNION ALL SELECT 'unit_code', unit_code, count(*) FROM {_META} GROUP BY 2) k ON k.f = t.field_name AND k.c = lower(trim(t.category)) WHERE coalesce(k.n, 0) < greatest(coalesce(t.min_rows, 0), t.target_share * t.sample_rows)"""
 
+_P2_REPORT = f"""WITH k AS (SELECT 'category_code' AS f, category_code AS c, count(*) AS n FROM {_META} GROUP BY 2 UNION ALL SELECT 'institution', institution, count(*) FROM {_META} GROUP BY 2 UNION ALL SELECT 'unit_code', unit_code, count(*) FROM {_META} GROUP BY 2),
+ t AS (SELECT *, target_share * sample_rows AS e, floor(target_share * sample_rows) AS b FROM sample_targets),
+ q AS (SELECT *, row_number() OVER (PARTITION BY plan_name ORDER BY e - b DESC, target_id) <= round_even(sum(e) OVER (PARTITION BY plan_name), 0) - sum(b) OVER (PARTITION BY plan_name) AS up FROM t),
+ w AS (SELECT target_id, plan_name, field_name, coalesce(nullif(lower(trim(category)), ''), '') AS category, target_share, greatest(coalesce(min_rows, 0), e) AS needed, CAST(greatest(b + CAST(up AS INT), coalesce(min_rows, 0)) AS BIGINT) AS quota FROM q)
+ SELECT target_id, plan_name, field_name, category, target_share, needed, coalesce(n, 0) AS available, quota, least(quota, coalesce(n, 0)) AS drawn, greatest(0, CAST(ceil(needed) AS BIGINT) - coalesce(n, 0)) AS shortfall, coalesce(n, 0) >= needed AS met FROM w LEFT JOIN k ON k.f = field_name AND k.c = category"""
+
 _P3 = f"""WITH RECURSIVE b AS MATERIALIZED (SELECT image_id, coalesce(o, '#' || image_id) AS o, m FROM {_META}),
  e AS MATERIALIZED (SELECT DISTINCT x.o AS a, y.o AS b FROM b x JOIN b y ON x.m = y.m AND x.o <> y.o),
  r(node, root) AS (SELECT a, a FROM e UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.node),
@@ -129,4 +135,4 @@ _P4_COVERAGE = f"""WITH j AS MATERIALIZED (SELECT x.*, sp FROM {_META} x JOIN (S
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p2_found": _P2, "p3_found": _P3, "p4_found": _P4, "p4_report": _P4_REPORT, "p4_coverage": _P4_COVERAGE}
+    return {"p2_found": _P2, "p2_report": _P2_REPORT, "p3_found": _P3, "p4_found": _P4, "p4_report": _P4_REPORT, "p4_coverage": _P4_COVERAGE}

@@ -198,16 +198,19 @@ def one_institution(df: DataFrame, object_col: str, inst_col: str) -> bool:
 
 def _sequential(pool: DataFrame, order: Sequence[str], object_col: str, object_cap: int, no: DataFrame, inst_col: str, inst_cap: int, ni: DataFrame, quota: int) -> DataFrame:
     """The loop itself, over stretches of CHUNK_ROWS rows in order; rows of objects and institutions that are full already
-    are left out of a stretch."""
+    are left out of a stretch. A pool of no more rows is one stretch as it is."""
     names, got, parts, last = pool.columns, 0, [], None
+    whole = pool.limit(CHUNK_ROWS + 1).count() <= CHUNK_ROWS
     while got < quota:
         full_obj, full_inst = no.where(F.col("_no") >= object_cap), ni.where(F.col("_ni") >= inst_cap)
         left = pool if last is None else pool.where(F.struct(*order) > F.struct(*[F.lit(x).cast(pool.schema[c].dataType).alias(c) for c, x in zip(order, last)]))
-        stretch = cut(left.join(full_obj.select(object_col), object_col, "left_anti").join(full_inst.select(inst_col), inst_col, "left_anti").orderBy(*order).limit(CHUNK_ROWS), "stretch")
-        end = stretch.agg(F.max(F.struct(*order)).alias("x")).first()["x"]
-        if end is None:
-            break
-        last = tuple(end)
+        stretch = left.join(full_obj.select(object_col), object_col, "left_anti").join(full_inst.select(inst_col), inst_col, "left_anti")
+        if not whole:
+            stretch = cut(stretch.orderBy(*order).limit(CHUNK_ROWS), "stretch")
+            end = stretch.agg(F.max(F.struct(*order)).alias("x")).first()["x"]
+            if end is None:
+                break
+            last = tuple(end)
         rows = stretch.join(no, object_col, "left").join(ni, inst_col, "left").withColumn("_no", F.coalesce("_no", F.lit(0))).withColumn("_ni", F.coalesce("_ni", F.lit(0)))
 
         def run(pdf: pd.DataFrame, room: int = quota - got) -> pd.DataFrame:
@@ -225,6 +228,8 @@ def _sequential(pool: DataFrame, order: Sequence[str], object_col: str, object_c
 
         part = cut(rows.withColumn("_one", F.lit(1)).groupBy("_one").applyInPandas(lambda p: run(p), pool.schema), "accepted")
         parts.append(part)
+        if whole:
+            break
         got += part.count()
         no = no.unionByName(part.groupBy(object_col).agg(F.count("*").alias("_no"))).groupBy(object_col).agg(F.sum("_no").alias("_no"))
         ni = ni.unionByName(part.groupBy(inst_col).agg(F.count("*").alias("_ni"))).groupBy(inst_col).agg(F.sum("_ni").alias("_ni"))

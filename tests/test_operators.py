@@ -85,9 +85,9 @@ def greedy(rows, quotas, views, inst):
     return out
 
 
-@pytest.mark.parametrize("functional", [True, False])
-def test_greedy_quotas_equal_the_loop(spark, functional, monkeypatch):
-    monkeypatch.setattr(sampling, "CHUNK_ROWS", 37)
+@pytest.mark.parametrize("functional, stretch", [(True, 37), (False, 37), (False, 200_000)])
+def test_greedy_quotas_equal_the_loop(spark, functional, stretch, monkeypatch):
+    monkeypatch.setattr(sampling, "CHUNK_ROWS", stretch)
     r = random.Random(9)
     rows = [(r.random(), i, r.choice("abc"), o := r.randrange(30), (o % 4) if functional else r.randrange(4)) for i in range(250)]
     df = spark.createDataFrame(rows, "h double, id long, c string, o long, u long")

@@ -60,26 +60,32 @@ def _dct(n: int) -> np.ndarray:
 
 
 def perceptual_hash(pixels: np.ndarray, size: int = 8, factor: int = 4) -> str:
-    """Hex DCT hash of a grey image: scaled by area to (size * factor) squared, the low frequencies compared with their
-    median, the constant one left out of the median."""
+    """Hex DCT hash of a grey image of 0 to 255: scaled by a windowed sinc to (size * factor) squared, first along the
+    rows and then along the columns, in whole grey values each time; the low frequencies are compared with their median,
+    the constant one left out of the median."""
     if size < 2 or factor < 1:
         raise ValueError("size must be at least 2 and factor at least 1")
     side = size * factor
-    small = _weights(side, pixels.shape[0]) @ pixels.astype(np.float64) @ _weights(side, pixels.shape[1]).T
+    whole = lambda x: np.clip(np.floor(x + 0.5), 0, 255)
+    small = whole(_weights(side, pixels.shape[0]) @ whole(pixels.astype(np.float64) @ _weights(side, pixels.shape[1]).T))
     basis = _dct(side)
     low = (basis @ small @ basis.T)[:size, :size].ravel()
     bits = low > np.median(low[1:])
     return f"{int(''.join('1' if b else '0' for b in bits), 2):0{size * size // 4}x}"
 
 
-def _weights(to: int, n: int) -> np.ndarray:
-    """Rows that average ``n`` pixels into ``to`` cells by overlap."""
-    edges = np.linspace(0, n, to + 1)
-    lo, hi = np.maximum(edges[:-1, None], np.arange(n)), np.minimum(edges[1:, None], np.arange(n) + 1)
-    w = np.clip(hi - lo, 0, None)
+def _weights(to: int, n: int, lobes: int = 3) -> np.ndarray:
+    """Rows that make ``to`` pixels of ``n``: a sinc windowed by its own first lobe, widened where the picture shrinks."""
+    scale = n / to
+    x = (np.arange(n) + 0.5 - (np.arange(to)[:, None] + 0.5) * scale) / max(scale, 1.0)
+    w = np.where(np.abs(x) < lobes, np.sinc(x) * np.sinc(x / lobes), 0.0)
     return w / w.sum(axis=1, keepdims=True)
 
 
+# Parts of red, green and blue in a grey value, in 65,536ths.
+GREY = (19595, 38470, 7471)
+
+
 @F.pandas_udf(T.StringType())
 def grey_phash(data: pd.Series, width: pd.Series, height: pd.Series, channels: pd.Series) -> pd.Series:
     """Perceptual hash of decoded images as Spark's image source gives them (rows of BGR or grey bytes)."""
@@ -88,7 +94,7 @@ def grey_phash(data: pd.Series, width: pd.Series, height: pd.Series, channels: p
         if d is None or w < 1 or h < 1:
             out.append(None)
             continue
-        px = np.frombuffer(d, dtype=np.uint8).reshape(h, w, c).astype(np.float64)
-        grey = px[..., 0] if c == 1 else 0.114 * px[..., 0] + 0.587 * px[..., 1] + 0.299 * px[..., 2]
+        px = np.frombuffer(d, dtype=np.uint8).reshape(h, w, c).astype(np.int64)
+        grey = px[..., 0] if c == 1 else (px[..., 2] * GREY[0] + px[..., 1] * GREY[1] + px[..., 0] * GREY[2] + 32768) >> 16
         out.append(perceptual_hash(grey))
     return pd.Series(out, dtype=object)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import io
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -102,50 +102,59 @@ class Answer:
     body: bytes = b""
 
 
-FETCHED = "image_id bigint, status string, http_status int, attempts int, error string, bytes bigint, sha256 string"
+FETCHED = "image_id bigint, status string, http_status int, attempts int, error string, bytes bigint, sha256 string, mime string, retryable boolean, seconds double"
 
 
-def fetch(df: DataFrame, get: Callable[[str], Answer], id_col: str = "image_id", url: str = "image_url", attempts: int = 4, backoff: float = 0.5, most_bytes: int = 52_428_800, parallel: int | None = None) -> DataFrame:
-    """An audit row per image: ``get`` is called for each address, again after an answer that may change, with the wait
+def fetch(df: DataFrame, get: Callable[[str], Answer], id_col: str = "image_id", url: str = "image_url", attempts: int = 4, backoff: float = 0.5, most_bytes: int = 52_428_800, parallel: int | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """An audit row per image, with the columns of ``keep`` carried over; ``retryable`` tells whether a later run may
+    succeed: ``get`` is called for each address, again after an answer that may change, with the wait
     doubled each time. Answers that aren't images, empty addresses and bodies beyond the cap are failures. The number of
     partitions bounds the parallel calls."""
 
-    def one(key: int, address: str | None) -> tuple:
+    def one(address: str | None) -> tuple:
         if not address:
-            return key, "failed", None, 0, "MISSING_IMAGE_URL", None, None
-        error, code = None, None
+            return "failed", None, 0, "MISSING_IMAGE_URL", None, None, None, False
+        error, code, mime = None, None, None
         for n in range(1, attempts + 1):
             try:
                 answer = get(address)
             except OSError as e:
-                code, error = None, f"{type(e).__name__}: {e}"[:200]
+                code, mime, error = None, None, f"{type(e).__name__}: {e}"[:200]
             except Exception as e:  # noqa: BLE001 - such an error won't go away by itself
-                return key, "failed", None, n, f"{type(e).__name__}: {e}"[:200], None, None
+                return "failed", None, n, f"{type(e).__name__}: {e}"[:200], None, None, None, False
             else:
-                code = answer.status
+                code, mime = answer.status, answer.mime
                 if code == 200:
-                    if not answer.mime.lower().startswith("image/"):
-                        return key, "failed", code, n, f"UNEXPECTED_MIME:{answer.mime}"[:200], None, None
+                    if not mime.lower().startswith("image/"):
+                        return "failed", code, n, f"UNEXPECTED_MIME:{mime}"[:200], None, None, mime, False
                     if len(answer.body) > most_bytes:
-                        return key, "failed", code, n, "TOO_LARGE", len(answer.body), None
-                    return key, "success", code, n, None, len(answer.body), hashlib.sha256(answer.body).hexdigest()
+                        return "failed", code, n, "TOO_LARGE", len(answer.body), None, mime, False
+                    return "success", code, n, None, len(answer.body), hashlib.sha256(answer.body).hexdigest(), mime, False
                 error = f"HTTP_{code}"
                 if code not in RETRYABLE:
-                    return key, "failed", code, n, error, None, None
+                    return "failed", code, n, error, None, None, mime, False
             if n < attempts:
                 time.sleep(backoff * 2 ** (n - 1))
-        return key, "failed", code, attempts, error, None, None
+        return "failed", code, attempts, error, None, None, mime, True
+
+    def timed(address: str | None) -> tuple:
+        began = time.monotonic()
+        return *one(address), time.monotonic() - began
+
+    names = [x.split(" ")[0] for x in FETCHED.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [one(k, u) for k, u in zip(b[id_col], b[url])]
-            frame = pd.DataFrame(rows, columns=["image_id", "status", "http_status", "attempts", "error", "bytes", "sha256"])
+            frame = pd.DataFrame([(k, *timed(u)) for k, u in zip(b["_id"], b["_url"])], columns=names)
             for c in ("http_status", "bytes"):
                 frame[c] = frame[c].astype("Int64")
+            for i, c in enumerate(keep):
+                frame[c] = b[f"_k{i}"].to_numpy()
             yield frame
 
-    rows = df.select(id_col, url)
-    return (rows.repartition(parallel) if parallel else rows).mapInPandas(run, FETCHED)
+    rows = df.select(F.col(id_col).alias("_id"), F.col(url).alias("_url"), *[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)])
+    shape = FETCHED + "".join(f", `{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
+    return (rows.repartition(parallel) if parallel else rows).mapInPandas(run, shape)
 
 
 def embed(df: DataFrame, model: Callable[[list[bytes]], np.ndarray], id_col: str = "image_id", content: str = "content", batch: int = 128) -> DataFrame:

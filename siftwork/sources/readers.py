@@ -26,8 +26,11 @@ def shard_urls(spark: SparkSession, path: str) -> DataFrame:
 
 def ndjson(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str, strict: bool = True) -> DataFrame:
     """Records of NDJSON shards, gzip included, with a given schema so that nothing is read twice. ``strict`` raises at the
-    first broken line; otherwise broken lines are skipped. Blank lines are skipped."""
-    return spark.read.schema(schema).json(path if isinstance(path, str) else list(path), mode="FAILFAST" if strict else "DROPMALFORMED")
+    first broken line; otherwise broken lines and those that are no object are skipped, and a value that doesn't fit its
+    column is null. Blank lines are skipped."""
+    if strict:
+        return spark.read.schema(schema).json(path if isinstance(path, str) else list(path), mode="FAILFAST")
+    return ndjson_text(spark, path).select(F.from_json("record_json", schema).alias("r")).select("r.*")
 
 
 def ndjson_text(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:

@@ -105,6 +105,15 @@ def test_perceptual_hash():
         V.perceptual_hash(img, 1)
 
 
+def test_scaling_keeps_flat_pictures_and_means():
+    for n in (5, 32, 100, 257):
+        w = V._weights(32, n)
+        assert np.allclose(w.sum(axis=1), 1) and np.allclose(w @ np.full(n, 7.0), 7)
+    assert np.allclose(V._weights(32, 32), np.eye(32))
+    ramp = V._weights(32, 128) @ np.arange(128.0)
+    assert np.allclose(np.diff(ramp)[4:-4], 4, atol=0.05)
+
+
 def test_keys(spark):
     assert run(spark, [" Ab ", "", "  ", None], norm_key("c")) == ["ab", None, None, None]
     assert run(spark, ["AB", "abc", "x1"], hex_key("c", 2)) == ["ab", None, None]

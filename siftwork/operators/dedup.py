@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from siftwork.functions.values import hamming
 from siftwork.operators.graph import connected_components
 from siftwork.operators.sampling import global_rank
-from siftwork.session import cut
+from siftwork.session import cut, unsized
 
 
 def _lists(df: DataFrame, key: str, sizes: DataFrame, **columns: str) -> DataFrame:
@@ -172,7 +172,7 @@ def hamming_pairs(df: DataFrame, id_col: str, bits_col: str, max_distance: int =
         keyed = keyed.join(hot.withColumn("hot", F.lit(True)), ["p", "x"], "left")
         split = F.when(F.col("hot").isNotNull(), parts).otherwise(none)
     keyed = keyed.select("h", "p", "x", F.explode(split).alias("k")).select("h", "p", "x", "k.m", "k.s")
-    near = keyed.withColumnRenamed("h", "h1").join(keyed.withColumnRenamed("h", "h2"), ["p", "x", "m", "s"]).where("h1 < h2")
+    near = keyed.withColumnRenamed("h", "h1").join(unsized(keyed.withColumnRenamed("h", "h2")), ["p", "x", "m", "s"]).where("h1 < h2")
     first_part = F.coalesce(*[F.when(part(F.col("h1").bitwiseXOR(F.col("h2")), m) == 0, F.lit(m)) for m in range(max_distance + 1)])
     near = near.where((F.col("m") == -1) | (F.col("m") == first_part))
     near = near.withColumn("distance", hamming("h1", "h2")).where(F.col("distance") <= max_distance)
@@ -181,7 +181,7 @@ def hamming_pairs(df: DataFrame, id_col: str, bits_col: str, max_distance: int =
     near = near.where(F.col("p") == first).select("h1", "h2", "distance")
     near = near.unionByName(codes.select(F.col("h").alias("h1"), F.col("h").alias("h2"), F.lit(0).alias("distance")))
     side = lambda n: rows.select(F.col("h").alias(f"h{n}"), F.col("id").alias(f"i{n}"), *([F.col("o").alias(f"o{n}")] if other else []))
-    both = near.join(side(1), "h1").join(side(2), "h2").where("h1 <> h2 OR i1 < i2")
+    both = near.join(unsized(side(1)), "h1").join(unsized(side(2)), "h2").where("h1 <> h2 OR i1 < i2")
     if other:
         both = both.where(~F.col("o1").eqNullSafe(F.col("o2")))
     return both.select(F.least("i1", "i2").alias("a"), F.greatest("i1", "i2").alias("b"), F.col("distance").cast("int").alias("distance"))

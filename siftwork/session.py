@@ -85,6 +85,13 @@ def fits_broadcast(df: DataFrame, bytes_per_row: int, rows: int = BROADCAST_ROWS
     return df.limit(most + 1).count() <= most
 
 
+def unsized(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that must not be broadcast. Spark sizes a side before it runs by the bytes of the files
+    read, as they are compressed, and takes an exploded row for one row, so a side of many times the bound may pass for a
+    small one and be gathered on the driver. A sort-merge join needs no size; adaptive execution still splits its hot keys."""
+    return df.hint("merge")
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

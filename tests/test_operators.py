@@ -252,6 +252,15 @@ def test_lists_and_members_of_groups(spark):
     assert {tuple(r) for r in dedup.component_members(pairs).collect()} == {(1, i) for i in range(1, 5)}
 
 
+def test_pairs_broadcast_no_side_by_its_file_size(spark, tmp_path):
+    """Compressed files are far below Spark's bound of 10 MB, whatever is read from them."""
+    spark.range(600).selectExpr("id", "id * 3 AS h", "CAST(id % 5 AS STRING) AS s").write.parquet(f"{tmp_path}/codes")
+    pairs = dedup.hamming_pairs(spark.read.parquet(f"{tmp_path}/codes"), "id", "h", 2, "s")
+    assert "Broadcast" not in pairs._jdf.queryExecution().executedPlan().toString()
+    want = {(a, b, d) for a in range(600) for b in range(a + 1, 600) if a % 5 != b % 5 and (d := (a * 3 ^ b * 3).bit_count()) <= 2}
+    assert {tuple(r) for r in pairs.collect()} == want != set()
+
+
 def test_pieces_grow_with_the_codes():
     sets = [len(dedup.hamming_scheme(n, 4)[1]) for n in (10**3, 10**6, 10**7, 10**9)]
     assert sets == sorted(sets) and sets[0] < sets[-1]

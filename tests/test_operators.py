@@ -3,8 +3,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from siftwork.operators import decide, dedup, profile, release, sampling, search, splitting, validate
+from siftwork.operators import decide, dedup, graph, profile, release, sampling, search, splitting, validate
 from siftwork.operators.graph import connected_components
+from siftwork.plans import curation
+from siftwork.session import cut
 
 
 def test_staged_reasons_and_status(spark):
@@ -261,6 +263,14 @@ def test_pairs_broadcast_no_side_by_its_file_size(spark, tmp_path):
     assert {tuple(r) for r in pairs.collect()} == want != set()
 
 
+@pytest.mark.parametrize("name", ["near_component_lists"])
+def test_near_components_broadcast_no_side_of_the_pairs(spark, monkeypatch, tiny, name):
+    plans = []
+    monkeypatch.setattr(graph, "cut", lambda df, at: plans.append(df._jdf.queryExecution().executedPlan().toString()) or cut(df, at))
+    assert curation.R.queries[name](spark, tiny).count() > 0
+    assert "SortMergeJoin" in plans[0] and "Broadcast" not in plans[0]  # the first cut has the pairs
+
+
 def test_pieces_grow_with_the_codes():
     sets = [len(dedup.hamming_scheme(n, 4)[1]) for n in (10**3, 10**6, 10**7, 10**9)]
     assert sets == sorted(sets) and sets[0] < sets[-1]

@@ -263,7 +263,7 @@ def test_pairs_broadcast_no_side_by_its_file_size(spark, tmp_path):
     assert {tuple(r) for r in pairs.collect()} == want != set()
 
 
-@pytest.mark.parametrize("name", ["near_component_lists", "near_component_members"])
+@pytest.mark.parametrize("name", ["near_component_lists", "near_component_members", "near_components"])
 def test_near_components_broadcast_no_side_of_the_pairs(spark, monkeypatch, tiny, name):
     plans = []
     monkeypatch.setattr(graph, "cut", lambda df, at: plans.append(df._jdf.queryExecution().executedPlan().toString()) or cut(df, at))

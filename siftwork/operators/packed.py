@@ -241,7 +241,7 @@ def split_packed(df: DataFrame, id_col: str = "image_id", fields: tuple[str, ...
     ``min_terms`` terms are left out.
     """
     rows = cut(one_row_per(df, id_col, list(fields)), "packed-rows")  # read twice below
-    values = rows.select(F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).cast("string").alias("value")) for f in comma_fields])).alias("p")).select("p.*").where(F.col("value").rlike(MAYBE_PACKED)) if comma_fields else None
+    values = rows.select(F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).cast("string").alias("value")) for f in comma_fields])).alias("p")).select("p.*").where("value IS NOT NULL") if comma_fields else None
     long = _long(rows, id_col, fields, min_terms > 1)
     sc = df.sparkSession.sparkContext
     block: dict[str, list[str]] = {}

@@ -141,6 +141,15 @@ def test_known_values_keep_their_comma(spark):
     assert list(got[6].values()) == ["Moths", "Owls"]
 
 
+def test_fields_of_one_term_tell_terms_of_their_own(spark):
+    """"Owls, Moths" is seen twice in quotes, but both parts are known from fields that hold nothing else, so it is a list."""
+    rows = [(i, None, t, None, None) for i, t in enumerate(['"Owls, Moths"; Bells', '"Owls, Moths"; Bells', "Owls", "Owls", "Moths", "Moths", "Owls, Moths, Glass"])]
+    df = spark.createDataFrame(rows, "image_id long, related_names string, topics string, place string, object_type string")
+    for n in (1, 2):
+        got = {r.pos: r.item_value for r in packed.split_packed(df, min_terms=n).where("image_id = 6").collect()}
+        assert got == {1: "Owls", 2: "Moths", 3: "Glass"}
+
+
 def test_blocks_of_the_dictionary_give_the_same(spark, monkeypatch, tiny):
     df = spark.read.parquet(f"{tiny}/metadata.parquet")
     want = sorted(packed.split_packed(df, min_support=1).collect())

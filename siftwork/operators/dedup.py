@@ -193,7 +193,7 @@ def near_components(pairs: DataFrame, members: DataFrame, id_col: str, object_co
     sorted and joined. Components of every size have their lists."""
     comp = connected_components(pairs).withColumnRenamed("node", id_col)
     more = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(f"_{name}") for name, c in lists.items()]
-    named = comp.join(members.select(id_col, object_col, *more).dropDuplicates([id_col]), id_col).withColumnRenamed("component", "first_id")
+    named = unsized(comp).join(members.select(id_col, object_col, *more).dropDuplicates([id_col]), id_col).withColumnRenamed("component", "first_id")
     pairs = named.groupBy("first_id", object_col).agg(F.count("*").alias("n"))
     sizes = pairs.groupBy("first_id").agg(F.sum("n").alias("size"), F.count(object_col).alias("object_count"))
     per = sizes.join(_lists(named, "first_id", sizes, ids=id_col, **{name: f"_{name}" for name in lists}), "first_id")

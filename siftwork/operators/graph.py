@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftwork.session import cut, drop_cut
+from siftwork.session import cut, drop_cut, unsized
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -13,10 +13,10 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
 
     Each round replaces the edges by those of a large-star step (every larger neighbour is tied to the smallest one)
     and a small-star step (every smaller neighbour likewise); the number of rounds grows with the logarithm of the
-    size. The least neighbour of a node comes from a partial aggregate and is joined back, so a node with a third of
-    all edges is never gathered in one task: adaptive execution splits such a join. The edges of each round are written
-    to the shared folder, so a lost executor costs no recomputation of earlier rounds. Null ends, loops and repeated
-    edges are ignored; an empty table gives an empty table.
+    size. The least neighbour of a node comes from a partial aggregate and is joined back by sort-merge (see
+    :func:`unsized`), so the edges of a node are never held in memory together; those of one node pass through one task,
+    which spills what it sorts. The edges of each round are written to the shared folder, so a lost executor costs no
+    recomputation of earlier rounds. Null ends, loops and repeated edges are ignored; an empty table gives an empty table.
     """
     kind = edges.schema[a].dataType.simpleString()
     both = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u IS NOT NULL AND v IS NOT NULL AND u <> v")
@@ -44,11 +44,11 @@ def _sum(edges: DataFrame) -> tuple:
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    return both.where("v > u").join(unsized(least), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """``edges`` all point from a larger to a smaller node."""
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    moved = edges.join(unsized(least), "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionAll(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()

@@ -60,6 +60,22 @@ def test_components_of_a_star_and_a_chain(spark):
     assert {r.component: r["count"] for r in got} == {0: 500, 1000: 301}
 
 
+def _plans(monkeypatch, module):
+    """The plans of the tables that ``module`` cuts from now on, as they stand before they run."""
+    plans = []
+    monkeypatch.setattr(module, "cut", lambda df, at: plans.append(df._jdf.queryExecution().executedPlan().toString()) or cut(df, at))
+    return plans
+
+
+def test_component_steps_broadcast_no_side_by_its_file_size(spark, monkeypatch):
+    """The edges of a round are read from compressed files, which are far below Spark's bound whatever they hold."""
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(50, 50 + i) for i in range(1, 40)], "a long, b long")
+    plans = _plans(monkeypatch, graph)
+    got = {r.node: r.component for r in connected_components(edges).collect()}
+    assert got == {i: 0 if i < 50 else 50 for i in [*range(41), *range(50, 90)]}
+    assert len(plans) > 1 and all("SortMergeJoin" in p and "Broadcast" not in p for p in plans[1:])  # the first cut has the edges as given
+
+
 @pytest.mark.parametrize("hot, codes_seen", [(20_000, None), (2, None), (2, 10**8)])
 def test_hamming_pairs_against_brute_force(spark, monkeypatch, hot, codes_seen):
     monkeypatch.setattr(dedup, "HOT", hot)
@@ -271,6 +287,21 @@ def test_near_components_broadcast_no_side_of_the_pairs(spark, monkeypatch, tiny
     assert "SortMergeJoin" in plans[0] and "Broadcast" not in plans[0]  # the first cut has the pairs
 
 
+def _joins_of_members(spark, tmp_path, monkeypatch, **lists):
+    """(result, its plan before it runs) of near components over members read from files of a few kB."""
+    spark.range(60).selectExpr("id", "CONCAT('o', id % 4) AS o", "CONCAT('u', id % 3) AS u").write.parquet(f"{tmp_path}/members")
+    pairs = spark.createDataFrame([(i, i + 1) for i in range(0, 40, 2)] + [(50, 50 + i) for i in range(1, 8)], "a long, b long")
+    plans = _plans(monkeypatch, sampling)
+    got = [tuple(r) for r in dedup.near_components(pairs, spark.read.parquet(f"{tmp_path}/members"), "id", "o", **lists).collect()]
+    return sorted(got), plans[0]
+
+
+def test_near_component_lists_broadcast_neither_components_nor_members(spark, tmp_path, monkeypatch):
+    got, plan = _joins_of_members(spark, tmp_path, monkeypatch, objects="o", units="u")
+    assert got[0] == (1, 50, 8, 4, "; ".join(map(str, range(50, 58))), "o0; o1; o2; o3", "u0; u1; u2") and len(got) == 21
+    assert "SortMergeJoin [id" in plan and "BroadcastHashJoin [id" not in plan
+
+
 def test_pieces_grow_with_the_codes():
     sets = [len(dedup.hamming_scheme(n, 4)[1]) for n in (10**3, 10**6, 10**7, 10**9)]
     assert sets == sorted(sets) and sets[0] < sets[-1]

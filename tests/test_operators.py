@@ -287,6 +287,13 @@ def test_near_components_broadcast_no_side_of_the_pairs(spark, monkeypatch, tiny
     assert "SortMergeJoin" in plans[0] and "Broadcast" not in plans[0]  # the first cut has the pairs
 
 
+def test_near_component_members_broadcasts_no_side_in_any_round(spark, monkeypatch, tiny):
+    plans = _plans(monkeypatch, graph)
+    got = {tuple(r) for r in curation.R.queries["near_component_members"](spark, tiny).collect()}
+    assert len(plans) > 2 and all("SortMergeJoin" in p and "Broadcast" not in p for p in plans)
+    assert len({i for _, i in got}) == len(got) > 0 and all((first, first) in got and first <= i for first, i in got)
+
+
 def _joins_of_members(spark, tmp_path, monkeypatch, **lists):
     """(result, its plan before it runs) of near components over members read from files of a few kB."""
     spark.range(60).selectExpr("id", "CONCAT('o', id % 4) AS o", "CONCAT('u', id % 3) AS u").write.parquet(f"{tmp_path}/members")

@@ -309,6 +309,12 @@ def test_near_component_lists_broadcast_neither_components_nor_members(spark, tm
     assert "SortMergeJoin [id" in plan and "BroadcastHashJoin [id" not in plan
 
 
+def test_near_components_without_lists_broadcast_neither_components_nor_members(spark, tmp_path, monkeypatch):
+    got, plan = _joins_of_members(spark, tmp_path, monkeypatch)
+    assert got[:2] == [(1, 50, 8, 4, "; ".join(map(str, range(50, 58)))), (2, 0, 2, 2, "0; 1")] and len(got) == 21
+    assert "SortMergeJoin [id" in plan and "BroadcastHashJoin [id" not in plan
+
+
 def test_pieces_grow_with_the_codes():
     sets = [len(dedup.hamming_scheme(n, 4)[1]) for n in (10**3, 10**6, 10**7, 10**9)]
     assert sets == sorted(sets) and sets[0] < sets[-1]

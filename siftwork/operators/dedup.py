@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftwork.functions.values import hamming
-from siftwork.operators.graph import connected_components
+from siftwork.operators.graph import connected_components, grouped_edges
 from siftwork.operators.sampling import global_rank
 from siftwork.session import cut, unsized
 
@@ -149,17 +149,8 @@ def signed(m: int) -> int:
     return m - (1 << 64) if m >> 63 else m
 
 
-def hamming_pairs(df: DataFrame, id_col: str, bits_col: str, max_distance: int = 4, other: str | None = None) -> DataFrame:
-    """(a, b, distance) of rows whose 64-bit codes differ in at most ``max_distance`` bits, a below b; where ``other`` is
-    given, pairs with equal ``other`` are left out.
-
-    Exact by the pigeonhole principle: codes are joined on each set of pieces that :func:`hamming_scheme` picks for their
-    number. A set that more than HOT codes share is split once more: the other bits make ``max_distance + 1`` parts, of
-    which one must agree too. The join runs on distinct codes, and a pair is kept only by the first set that agrees; rows
-    with equal codes are expanded at the end. Null codes match nothing.
-    """
-    rows = df.where(F.col(bits_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(bits_col).alias("h"), *([F.col(other).alias("o")] if other else [])).distinct()
-    codes = rows.select("h").distinct()
+def _near_codes(codes: DataFrame, max_distance: int) -> DataFrame:
+    """(h1, h2, distance) of distinct codes ``h`` that differ in at most ``max_distance`` bits, h1 below h2; see :func:`hamming_pairs`."""
     pieces, sets = hamming_scheme(codes.count(), max_distance)
     keyed = codes.select("h", F.posexplode(F.array(*[piece_key(F.col("h"), pieces, own) for own in sets])).alias("p", "x"))
     hot = cut(keyed.groupBy("p", "x").agg(F.count("*").alias("c")).where(F.col("c") > HOT).select("p", "x"), "hot")
@@ -178,7 +169,21 @@ def hamming_pairs(df: DataFrame, id_col: str, bits_col: str, max_distance: int =
     near = near.withColumn("distance", hamming("h1", "h2")).where(F.col("distance") <= max_distance)
     agree = [piece_of(F.col("h1"), *piece) == piece_of(F.col("h2"), *piece) for piece in pieces]
     first = F.coalesce(*[F.when(reduce(lambda x, y: x & y, [agree[i] for i in own]), F.lit(n)) for n, own in enumerate(sets)])
-    near = near.where(F.col("p") == first).select("h1", "h2", "distance")
+    return near.where(F.col("p") == first).select("h1", "h2", "distance")
+
+
+def hamming_pairs(df: DataFrame, id_col: str, bits_col: str, max_distance: int = 4, other: str | None = None) -> DataFrame:
+    """(a, b, distance) of rows whose 64-bit codes differ in at most ``max_distance`` bits, a below b; where ``other`` is
+    given, pairs with equal ``other`` are left out.
+
+    Exact by the pigeonhole principle: codes are joined on each set of pieces that :func:`hamming_scheme` picks for their
+    number. A set that more than HOT codes share is split once more: the other bits make ``max_distance + 1`` parts, of
+    which one must agree too. The join runs on distinct codes, and a pair is kept only by the first set that agrees; rows
+    with equal codes are expanded at the end. Null codes match nothing.
+    """
+    rows = df.where(F.col(bits_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(bits_col).alias("h"), *([F.col(other).alias("o")] if other else [])).distinct()
+    codes = rows.select("h").distinct()
+    near = _near_codes(codes, max_distance)
     near = near.unionByName(codes.select(F.col("h").alias("h1"), F.col("h").alias("h2"), F.lit(0).alias("distance")))
     side = lambda n: rows.select(F.col("h").alias(f"h{n}"), F.col("id").alias(f"i{n}"), *([F.col("o").alias(f"o{n}")] if other else []))
     both = near.join(unsized(side(1)), "h1").join(unsized(side(2)), "h2").where("h1 <> h2 OR i1 < i2")
@@ -187,6 +192,23 @@ def hamming_pairs(df: DataFrame, id_col: str, bits_col: str, max_distance: int =
     return both.select(F.least("i1", "i2").alias("a"), F.greatest("i1", "i2").alias("b"), F.col("distance").cast("int").alias("distance"))
 
 
+def hamming_edges(df: DataFrame, id_col: str, bits_col: str, max_distance: int = 4, other: str | None = None) -> DataFrame:
+    """(a, b) with the same connected components as the pairs of :func:`hamming_pairs`, but at most one edge for each row
+    and each pair of near codes: the rows of one code in n copies have n - 1 edges here and n * (n - 1) / 2 pairs there.
+
+    Rows of one code with two or more ``other`` are all joined by pairs. Rows of one code and one ``other`` are joined by
+    any near code with another ``other``, since each of them pairs with a row of it. So every code needs its least id,
+    whether its ``other`` is one, and which; equal rows needn't be taken out first."""
+    same = F.coalesce(F.concat(F.lit("="), F.col(other).cast("string")), F.lit("")) if other else F.col(id_col)
+    rows = df.where(F.col(bits_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(bits_col).alias("h"), same.alias("o"))
+    codes = rows.groupBy("h").agg(F.min("id").alias("first"), F.min("o").alias("o"), (F.min("o") != F.max("o")).alias("many"))
+    codes = cut(codes.select("h", "first", "many", F.when(~F.col("many"), F.col("o")).alias("o")), "codes")
+    side = lambda n: unsized(codes.select(*[F.col(c).alias(f"{c}{n}") for c in codes.columns]))
+    both = _near_codes(codes.select("h"), max_distance).join(side(1), "h1").join(side(2), "h2")
+    links = both.where("many1 OR many2 OR o1 <> o2").select("h1", "h2", "first1", "first2")
+    return grouped_edges(rows.select("id", "h"), codes.where("many").select("h", "first"), links)
+
+
 def near_components(pairs: DataFrame, members: DataFrame, id_col: str, object_col: str, **lists: str) -> DataFrame:
     """(group_id, first_id, size, object_count, ids, *lists): the components of near pairs, the largest first, then by
     least id. ``lists`` names further columns of ``members``, each given as its distinct values, null as the empty text,

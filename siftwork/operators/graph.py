@@ -35,6 +35,17 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     return leaves.unionByName(roots).select(F.col("node").cast(kind), F.col("component").cast(kind))
 
 
+def grouped_edges(rows: DataFrame, joined: DataFrame, links: DataFrame) -> DataFrame:
+    """(a, b): the edges of rows (id, h) whose groups ``h`` are joined as wholes, an edge a row and a link. ``links``: (h1, h2,
+    first1, first2), two groups that are joined, with the least ids of both; ``joined``: (h, first), groups joined in
+    themselves. A group with a link is joined in itself, too; the rows of other groups have no edges."""
+    links = cut(links, "links")
+    end = lambda n: links.select(F.col(f"h{n}").alias("h"), F.col(f"first{n}").alias("first"))
+    every = joined.unionAll(end(1)).unionAll(end(2)).distinct()
+    own = rows.join(unsized(every), "h").where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b"))
+    return own.unionAll(links.select(F.col("first1").alias("a"), F.col("first2").alias("b")))
+
+
 def _sum(edges: DataFrame) -> tuple:
     """Count and a hash of the edge set; equal to the round before only when nothing changed."""
     row = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()

@@ -262,11 +262,22 @@ _BITS = f"(SELECT image_id, lower(trim(sha256)) AS sha, CAST('0x' || lower(trim(
 _NEAR = f"(SELECT x.image_id AS a, y.image_id AS b, CAST(bit_count(xor(x.h, y.h)) AS INT) AS distance FROM {_BITS} x JOIN {_BITS} y ON x.image_id < y.image_id WHERE bit_count(xor(x.h, y.h)) <= 4 AND x.sha IS DISTINCT FROM y.sha)"
 
 
+def _near_columns(m: DataFrame) -> DataFrame:
+    return m.select("image_id", "object_id", F.lower(F.trim("sha256")).alias("sha"), V.hex_bits("phash").alias("h"))
+
+
 def _near(spark, d):
-    m = meta(spark, d).select("image_id", "object_id", F.lower(F.trim("sha256")).alias("sha"), V.hex_bits("phash").alias("h"))
+    m = _near_columns(meta(spark, d))
     return dedup.hamming_pairs(m, "image_id", "h", 4, other="sha"), m
 
 
+def _near_edges(spark, d):
+    """Edges with the components of the pairs of :func:`_near`. Whole-row copies change no component, so they are not taken
+    out of the wide rows first."""
+    m = _near_columns(table(spark, d, "metadata"))
+    return dedup.hamming_edges(m, "image_id", "h", 4, other="sha"), m
+
+
 @R.query(f"SELECT a, b, distance FROM {_NEAR}")
 def hamming_near_pairs(spark, d):
     return _near(spark, d)[0]
@@ -283,7 +294,7 @@ def near_components(spark, d):
 @R.query(f"""WITH RECURSIVE e AS (SELECT a, b FROM {_NEAR} UNION ALL SELECT b, a FROM {_NEAR}), r(node, root) AS (SELECT a, a FROM e UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.node)
  SELECT min(root) AS first_id, node AS id FROM r GROUP BY 2""")
 def near_component_members(spark, d):
-    return dedup.component_members(_near(spark, d)[0].select("a", "b"))
+    return dedup.component_members(_near_edges(spark, d)[0])
 
 
 def _distinct(c: str) -> str:

@@ -294,6 +294,28 @@ def test_near_component_members_broadcasts_no_side_in_any_round(spark, monkeypat
     assert len({i for _, i in got}) == len(got) > 0 and all((first, first) in got and first <= i for first, i in got)
 
 
+@pytest.mark.parametrize("ids, others, other", [(10**6, 4, "o"), (12, 2, "o"), (4, 3, "o"), (12, 2, None)])
+def test_edges_have_the_components_of_the_pairs(spark, ids, others, other):
+    """Ids that stand once, and ids with several codes; codes of one other value, of several, and of null."""
+    rng = random.Random(ids)
+    base = [rng.getrandbits(63) for _ in range(12)]
+    rows = [(rng.randrange(ids), rng.choice(base) ^ (1 << rng.randrange(10)) ^ (1 << rng.randrange(10)), rng.choice([None, "", *map(str, range(others))])) for _ in range(60)] + [(None, base[0], "0"), (1, None, "0")]
+    rows += [(5 * 10**6 + i, 1 << 40, "x") for i in range(4)] + [(6 * 10**6 + i, 1 << 60, None) for i in range(4)]  # one other only: no pairs
+    df = spark.createDataFrame(rows, "id long, h long, o string")
+    want = connected_components(dedup.hamming_pairs(df, "id", "h", 4, other).select("a", "b")).collect()
+    got = connected_components(dedup.hamming_edges(df, "id", "h", 4, other)).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want)) != []
+
+
+def test_near_component_members_of_copies_have_an_edge_a_row_and_not_a_pair_each(spark, tmp_path, monkeypatch):
+    """300 images of one perceptual hash and 300 files are 44,850 pairs."""
+    spark.range(300).selectExpr("id AS image_id", "'o' AS object_id", "LPAD(HEX(id), 64, '0') AS sha256", "'00000000000000ff' AS phash").write.parquet(f"{tmp_path}/metadata.parquet")
+    rows = []
+    monkeypatch.setattr(graph, "cut", lambda df, at: rows.append((out := cut(df, at)).count()) or out)
+    got = curation.R.queries["near_component_members"](spark, str(tmp_path)).collect()
+    assert {tuple(r) for r in got} == {(0, i) for i in range(300)} and rows and max(rows) < 300
+
+
 def _joins_of_members(spark, tmp_path, monkeypatch, **lists):
     """(result, its plan before it runs) of near components over members read from files of a few kB."""
     spark.range(60).selectExpr("id", "CONCAT('o', id % 4) AS o", "CONCAT('u', id % 3) AS u").write.parquet(f"{tmp_path}/members")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from itertools import combinations
 
@@ -19,8 +19,11 @@ def _lists(df: DataFrame, key: str, sizes: DataFrame, **columns: str) -> DataFra
     """(key, one joined sorted list per column) of the groups that ``sizes`` has. A list is one cell, so the task that
     writes it holds the whole of it; the members as rows come from :func:`duplicate_groups`, :func:`shared_objects` and
     :func:`component_members`."""
-    joined = [F.array_join(F.transform(F.array_sort(F.collect_set(c)), lambda x: x.cast("string")), "; ").alias(name) for name, c in columns.items()]
-    return df.join(sizes.select(key), key).groupBy(key).agg(*joined)
+    return df.join(sizes.select(key), key).groupBy(key).agg(*_joined(columns))
+
+
+def _joined(columns: Mapping[str, str]) -> list[Column]:
+    return [F.array_join(F.transform(F.array_sort(F.collect_set(c)), lambda x: x.cast("string")), "; ").alias(name) for name, c in columns.items()]
 
 
 def merge_first_wins(inputs: Sequence[DataFrame], keys: Sequence[str], order: str) -> DataFrame:
@@ -218,7 +221,8 @@ def near_components(pairs: DataFrame, members: DataFrame, id_col: str, object_co
     named = unsized(comp).join(members.select(id_col, object_col, *more).dropDuplicates([id_col]), id_col).withColumnRenamed("component", "first_id")
     pairs = named.groupBy("first_id", object_col).agg(F.count("*").alias("n"))
     sizes = pairs.groupBy("first_id").agg(F.sum("n").alias("size"), F.count(object_col).alias("object_count"))
-    per = sizes.join(_lists(named, "first_id", sizes, ids=id_col, **{name: f"_{name}" for name in lists}), "first_id")
+    joined = named.groupBy("first_id").agg(*_joined({"ids": id_col} | {name: f"_{name}" for name in lists}))
+    per = unsized(sizes).join(joined, "first_id")
     ranked = global_rank(per.withColumn("_less", -F.col("size")), ["_less", "first_id"], "group_id")
     return ranked.select("group_id", "first_id", "size", "object_count", "ids", *lists)
 

@@ -287,8 +287,8 @@ def hamming_near_pairs(spark, d):
  c AS (SELECT node, min(root) AS first_id FROM r GROUP BY 1)
  SELECT row_number() OVER (ORDER BY size DESC, first_id) AS group_id, * FROM (SELECT first_id, count(*) AS size, count(DISTINCT object_id) AS object_count, array_to_string(list_sort(list(node)), '; ') AS ids FROM c JOIN {META} m ON m.image_id = c.node GROUP BY 1)""")
 def near_components(spark, d):
-    pairs, m = _near(spark, d)
-    return dedup.near_components(pairs.select("a", "b"), m, "image_id", "object_id")
+    edges, m = _near_edges(spark, d)
+    return dedup.near_components(edges, m, "image_id", "object_id")
 
 
 @R.query(f"""WITH RECURSIVE e AS (SELECT a, b FROM {_NEAR} UNION ALL SELECT b, a FROM {_NEAR}), r(node, root) AS (SELECT a, a FROM e UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.node)

@@ -316,6 +316,16 @@ def test_near_component_members_of_copies_have_an_edge_a_row_and_not_a_pair_each
     assert {tuple(r) for r in got} == {(0, i) for i in range(300)} and rows and max(rows) < 300
 
 
+def test_near_components_of_copies_have_an_edge_a_row_and_broadcast_no_groups(spark, tmp_path, monkeypatch):
+    """300 images of one perceptual hash and 300 files are 44,850 pairs; whole-row copies count once."""
+    spark.range(310).selectExpr("id % 300 AS image_id", "CONCAT('o', id % 300 % 7) AS object_id", "LPAD(HEX(id % 300), 64, '0') AS sha256", "'00000000000000ff' AS phash").write.parquet(f"{tmp_path}/metadata.parquet")
+    rows, plans = [], _plans(monkeypatch, sampling)
+    monkeypatch.setattr(graph, "cut", lambda df, at: rows.append((out := cut(df, at)).count()) or out)
+    got = curation.R.queries["near_components"](spark, str(tmp_path)).collect()
+    assert [tuple(r) for r in got] == [(1, 0, 300, 7, "; ".join(map(str, range(300))))] and rows and max(rows) < 300
+    assert "SortMergeJoin [first_id" in plans[0] and "Broadcast" not in plans[0]
+
+
 def _joins_of_members(spark, tmp_path, monkeypatch, **lists):
     """(result, its plan before it runs) of near components over members read from files of a few kB."""
     spark.range(60).selectExpr("id", "CONCAT('o', id % 4) AS o", "CONCAT('u', id % 3) AS u").write.parquet(f"{tmp_path}/members")
